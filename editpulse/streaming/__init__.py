@@ -1,0 +1 @@
+"""Intentionally empty: the analytics are a weekly batch recompute and define no streaming operator."""
