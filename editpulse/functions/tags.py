@@ -23,7 +23,10 @@ def hashtags(tags: Column) -> Column:
     return F.split(tag(tags, "hashtags"), ";")
 
 
-def residual_tags(tags: Column, drop: tuple[str, ...] = EXTRACTED_KEYS) -> Column:
-    """Map without the extracted keys; NULL when nothing is left."""
-    rest = F.map_filter(tags, lambda key, _: ~key.isin(*drop))
-    return F.when(F.size(rest) > 0, rest)
+def other_tags(tags: Column, drop: tuple[str, ...] = EXTRACTED_KEYS) -> Column:
+    """Map without the extracted keys."""
+    return F.map_filter(tags, lambda key, _: ~key.isin(*drop))
+
+
+def null_if_empty(tags: Column) -> Column:
+    return F.when(F.size(tags) > 0, tags)

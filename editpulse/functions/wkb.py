@@ -42,20 +42,18 @@ def _header(buf: bytes, at: int) -> tuple[str, int, int, int]:
 def _rings(buf: bytes, at: int, out: list[np.ndarray]) -> int:
     """Append every ring from offset ``at`` to ``out``; return the next offset."""
     order, kind, size, at = _header(buf, at)
-    if kind == POINT:
-        return at + 8 * size
+    if kind not in (POLYGON, MULTIPOLYGON, COLLECTION):
+        raise ValueError(f"geometry type {kind} has no area")
     (count,) = struct.unpack_from(order + "I", buf, at)
     at += 4
     for _ in range(count):
         if kind in (MULTIPOLYGON, COLLECTION):
             at = _rings(buf, at, out)
-        elif kind == POLYGON:
+        else:
             (points,) = struct.unpack_from(order + "I", buf, at)
             flat = np.frombuffer(buf, order + "f8", points * size, at + 4)
             out.append(flat.reshape(points, size)[:, :2].astype("f8"))
             at += 4 + 8 * size * points
-        else:
-            raise ValueError(f"geometry type {kind} has no area")
     return at
 
 
@@ -69,12 +67,13 @@ def edges_of_polygon(buf: bytes) -> np.ndarray:
 
 
 def explode_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas body: (shape, geometry) rows -> one row per edge."""
+    """mapInPandas body: (shape, a3, geometry) rows -> one row per edge."""
     for batch in batches:
-        for shape, geometry in zip(batch["shape"], batch["geometry"]):
+        for shape, a3, geometry in zip(batch["shape"], batch["a3"], batch["geometry"]):
             if geometry is not None:
                 frame = pd.DataFrame(edges_of_polygon(geometry), columns=["x1", "y1", "x2", "y2"])
                 frame.insert(0, "shape", shape)
+                frame.insert(1, "a3", a3)
                 yield frame
 
 

@@ -39,7 +39,7 @@ def member_semi_join(
     changesets stay where they are when the member ids are small enough to broadcast.
     The date is compared in the column's own type so that the scan can use it.
     """
-    uids = latest_partition(members).select("uid").distinct()
+    uids = latest_partition(members).select("uid")
     start = F.lit(since).cast(changesets.schema["created_at"].dataType)
     kept = changesets.where(F.col("created_at") >= start).join(
         broadcast_if_small(uids, broadcast_limit), "uid", "left_semi"
@@ -48,9 +48,13 @@ def member_semi_join(
 
 
 def changeset_columns(kept: DataFrame) -> DataFrame:
-    """Output columns that need nothing but the changeset itself."""
+    """Output columns that need nothing but the changeset itself.
+
+    The residual map is built in a projection of its own: it is used twice, and
+    merged into one expression it would be filtered twice.
+    """
     tags = F.col("tags")
-    return kept.select(
+    return kept.withColumn("_other", T.other_tags(tags)).select(
         "id",
         "uid",
         F.col("user").alias("username"),
@@ -62,7 +66,7 @@ def changeset_columns(kept: DataFrame) -> DataFrame:
         T.tag(tags, "host").alias("host"),
         T.tag(tags, "source").alias("source"),
         T.hashtags(tags).alias("hashtags"),
-        T.residual_tags(tags).alias("tags"),
+        T.null_if_empty(F.col("_other")).alias("tags"),
         "num_changes",
         bbox_struct().alias("bbox"),
         midpoint(F.col("min_lon"), F.col("max_lon")).alias("lon"),

@@ -39,12 +39,12 @@ def identified_shapes(boundaries: DataFrame) -> DataFrame:
 
 
 def boundary_index(shapes: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
-    """Grid index of shapes: ``shape, gx, gy, edges, inside``.
+    """Grid index of shapes: ``shape, a3, gx, gy, edges, inside``.
 
     Built with explodes and group-bys only; the one Python step decodes WKB.
     """
-    edges = shapes.select("shape", "geometry").mapInPandas(
-        explode_edges, "shape string, x1 double, y1 double, x2 double, y2 double"
+    edges = shapes.select("shape", "a3", "geometry").mapInPandas(
+        explode_edges, "shape string, a3 string, x1 double, y1 double, x2 double, y2 double"
     )
     size = F.lit(cell)
 
@@ -68,18 +68,22 @@ def boundary_index(shapes: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
         _SIDE.format(x=f"(gx + {REF_X}D) * {cell}D", y=f"(gy + {REF_Y}D) * {cell}D").replace("e.", "")
     ) > 0
     outline = touched.groupBy("shape", "gx", "gy").agg(
-        F.collect_list(F.struct("x1", "y1", "x2", "y2", ref_left.alias("ref_left"))).alias("edges")
+        F.first("a3").alias("a3"),
+        F.collect_list(F.struct("x1", "y1", "x2", "y2", ref_left.alias("ref_left"))).alias("edges"),
     )
 
     # Inside flags: crossings of the horizontal line through a row's reference points.
     ry = (F.col("gy") + F.lit(REF_Y)) * size
     crossing = rows.where((F.col("y1") > ry) != (F.col("y2") > ry)).select(
         "shape",
+        "a3",
         "gy",
         (F.col("x1") + (ry - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")))
         .alias("x"),
     )
-    lines = crossing.groupBy("shape", "gy").agg(F.collect_list("x").alias("xs"))
+    lines = crossing.groupBy("shape", "gy").agg(
+        F.first("a3").alias("line_a3"), F.collect_list("x").alias("xs")
+    )
     columns = F.sequence(
         F.floor(F.array_min("xs") / size).cast("long"), F.floor(F.array_max("xs") / size).cast("long")
     )
@@ -87,12 +91,13 @@ def boundary_index(shapes: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
     inside = (
         lines.withColumn("gx", F.explode(columns))
         .where(F.size(F.filter("xs", lambda x: x > rx)) % 2 == 1)
-        .select("shape", "gx", "gy", F.lit(1).alias("inside"))
+        .select("shape", "line_a3", "gx", "gy", F.lit(1).alias("inside"))
     )
 
     none = F.expr("CAST(array() AS array<struct<x1:double,y1:double,x2:double,y2:double,ref_left:boolean>>)")
     return outline.join(inside, ["shape", "gx", "gy"], "full").select(
         "shape",
+        F.coalesce("a3", "line_a3").alias("a3"),
         "gx",
         "gy",
         F.coalesce("edges", none).alias("edges"),
@@ -103,10 +108,9 @@ def boundary_index(shapes: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
 def prepared_index(
     boundaries: DataFrame, cell: float = CELL_DEGREES, broadcast_limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Index with its ``a3``, checkpointed once and hinted for broadcast if its size allows."""
+    """The index, checkpointed once and hinted for broadcast if its size allows."""
     checkpoint_dir(boundaries.sparkSession)
-    shapes = identified_shapes(boundaries)
-    index = boundary_index(shapes, cell).join(shapes.select("shape", "a3"), "shape").checkpoint()
+    index = boundary_index(identified_shapes(boundaries), cell).checkpoint()
     return F.broadcast(index) if measured_bytes(index) <= broadcast_limit else index
 
 
