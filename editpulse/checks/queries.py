@@ -16,12 +16,13 @@ from editpulse.operators import documents as D
 from editpulse.operators import members as M
 from editpulse.operators.features import feature_lines, tile_features
 from editpulse.operators.public import public_rollup
-from editpulse.operators.rollup import rollup_for
+from editpulse.operators.rollup import metric_structs, rollup_for
 from editpulse.operators.spatial import locate, prepared_index
 from editpulse.plans.enrich import enrich_changesets
 from editpulse.schemas import METRICS
 from editpulse.sources import standin
 from editpulse.sources.tables import latest_partition, members_as_of, with_cell
+from editpulse.sources.working import working_table
 
 # Fixed parameters of the stand-in data: cutoff inside the order dates, run dates
 # inside a month near the end of each table, index cells that suit 72 x 32 degree shapes.
@@ -107,13 +108,10 @@ def changeset_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conditional_struct_flat(spark: SparkSession, sf: str) -> DataFrame:
-    from editpulse.operators.rollup import metric_structs
-
     kept = _kept(spark, sf).select("id", "num_changes")
     joined = kept.join(_rollup(spark, sf), F.col("id") == F.col("changeset"))
-    groups = {g: METRICS[g] for g in METRICS}
-    flags = [F.isnull(g).alias(f"no_{g}") for g in groups]
-    return joined.select("id", *metric_structs()).select("id", *flags, *_flat(groups))
+    flags = [F.isnull(g).alias(f"no_{g}") for g in METRICS]
+    return joined.select("id", *metric_structs()).select("id", *flags, *_flat(METRICS))
 
 
 def bbox_diameter(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,8 +205,9 @@ def daily_point_union(spark: SparkSession, sf: str) -> DataFrame:
 
 def daily_bboxes(spark: SparkSession, sf: str) -> DataFrame:
     """Whole box lists per daily cell; the limit sends the longer ones to `daily_box_rows`."""
-    activity = _events(spark, sf)
-    boxed = C.with_boxes(activity, C.daily_cells(activity), limit=BOX_LIMIT)
+    activity = working_table(_events(spark, sf), "activity")
+    daily = working_table(C.daily_cells(activity), "daily")
+    boxed = C.with_boxes(activity, daily, limit=BOX_LIMIT)
     text = F.transform(
         "bboxes", lambda b: F.concat_ws(" ", *[b[c].cast("double").cast("string") for c in C.CORNERS])
     )
@@ -216,8 +215,9 @@ def daily_bboxes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_box_rows(spark: SparkSession, sf: str) -> DataFrame:
-    activity = _events(spark, sf)
-    rows = C.box_rows(activity, C.daily_cells(activity), limit=BOX_LIMIT)
+    activity = working_table(_events(spark, sf), "activity")
+    daily = working_table(C.daily_cells(activity), "daily")
+    rows = C.box_rows(activity, daily, limit=BOX_LIMIT)
     return rows.select(*C.KEYS, *[F.col("bbox")[c].cast("double").alias(c) for c in C.CORNERS])
 
 
@@ -238,23 +238,23 @@ def monthly_activity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def monthly_document(spark: SparkSession, sf: str) -> DataFrame:
-    return D.monthly_document(monthly_activity(spark, sf))
+    return D.monthly_document(working_table(monthly_activity(spark, sf), "months"))
 
 
 def country_months(spark: SparkSession, sf: str) -> DataFrame:
-    return A.country_months(_activity(spark, sf), RUN_DATE)
+    return A.most_edited_first(A.country_months(_activity(spark, sf), RUN_DATE))
 
 
 def country_months_events(spark: SparkSession, sf: str) -> DataFrame:
-    return A.country_months(_events(spark, sf), EVENT_RUN_DATE)
+    return A.most_edited_first(A.country_months(_events(spark, sf), EVENT_RUN_DATE))
 
 
 def top15_countries(spark: SparkSession, sf: str) -> DataFrame:
-    return A.top_countries(country_months(spark, sf))
+    return A.top_countries(A.country_months(_activity(spark, sf), RUN_DATE))
 
 
 def top_countries_document(spark: SparkSession, sf: str) -> DataFrame:
-    return D.top_countries_document(top15_countries(spark, sf))
+    return D.top_countries_document(working_table(top15_countries(spark, sf), "top"))
 
 
 def chapter_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,7 +262,7 @@ def chapter_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chapters_document(spark: SparkSession, sf: str) -> DataFrame:
-    return D.chapters_document(chapter_index(spark, sf), "2024-01-30")
+    return D.chapters_document(working_table(chapter_index(spark, sf), "chapters"), "2024-01-30")
 
 
 def coarse_cells_6(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,8 +312,9 @@ def point_in_polygon_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def public_rollup_flat(spark: SparkSession, sf: str) -> DataFrame:
-    activity = _events(spark, sf)
-    boxed = C.with_boxes(activity, C.daily_cells(activity))
+    activity = working_table(_events(spark, sf), "activity")
+    daily = working_table(C.daily_cells(activity), "daily")
+    boxed = C.with_boxes(activity, daily)
     countries = standin.boundaries(spark, sf)
     rollup = public_rollup(
         boxed, _newest_members(spark, sf), countries, prepared_index(countries, CELL), CELL

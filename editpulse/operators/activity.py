@@ -54,18 +54,18 @@ def country_months(activity: DataFrame, run_date: dt.date, days: int = 90) -> Da
         activity.where((F.col("created_at") > start) & F.col("country").isNotNull())
         .groupBy("country", month_label(F.col("created_at")).alias("month"))
         .agg(F.sum(touched("features")).alias("all_feats"))
-        .orderBy(F.col("all_feats").desc_nulls_last(), "month", "country")
     )
 
 
+def most_edited_first(countries: DataFrame) -> DataFrame:
+    return countries.orderBy(F.col("all_feats").desc_nulls_last(), "month", "country")
+
+
 def top_countries(countries: DataFrame, k: int = 15) -> DataFrame:
     """The ``k`` countries with most features in each month; ties go by country name."""
     order = Window.partitionBy("month").orderBy(F.col("all_feats").desc_nulls_last(), "country")
-    return (
-        countries.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .orderBy("month", "rank")
-    )
+    ranked = countries.withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).orderBy("month", "rank")
 
 
 def chapter_index(activity: DataFrame) -> DataFrame:

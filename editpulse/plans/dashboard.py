@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from editpulse.operators import activity as A
 from editpulse.operators import cells as C
@@ -14,20 +13,8 @@ from editpulse.operators.features import feature_lines, tile_features
 from editpulse.operators.members import activity_table, one_chapter_per_member
 from editpulse.operators.public import public_rollup
 from editpulse.operators.spatial import prepared_index
-from editpulse.session import checkpoint_dir
 from editpulse.sources import sinks, tables
-
-
-def working_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
-
-    Each output then scans only the columns it needs, and a lost executor costs a
-    re-read, not a recomputation.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from editpulse.sources.working import working_table
 
 
 def run(
@@ -52,10 +39,14 @@ def run(
     daily = working_table(C.daily_cells(activity), "daily")
     paths = sinks.release_paths(output, ds)
 
+    # Documents read their rows twice, so those few rows are written first.
+    chapters = working_table(A.chapter_index(activity), "chapters")
+    months = working_table(A.monthly_activity(daily, run_date), "months")
+    top = working_table(A.top_countries(A.country_months(activity, run_date)), "top")
+
     sinks.write_csv(A.weekly_chapters(daily), paths["weekly"])
-    sinks.write_lines(D.chapters_document(A.chapter_index(activity), ds), paths["chapters"])
-    sinks.write_lines(D.monthly_document(A.monthly_activity(daily, run_date)), paths["monthly"])
-    top = A.top_countries(A.country_months(activity, run_date))
+    sinks.write_lines(D.chapters_document(chapters, ds), paths["chapters"])
+    sinks.write_lines(D.monthly_document(months), paths["monthly"])
     sinks.write_lines(D.top_countries_document(top), paths["top_countries"])
 
     layers = {

@@ -11,6 +11,7 @@ from editpulse.operators.changesets import CUTOFF, changeset_columns, member_sem
 from editpulse.operators.rollup import metric_structs, rollup_for
 from editpulse.operators.spatial import CELL_DEGREES, locate, prepared_index
 from editpulse.sources import sinks, tables
+from editpulse.sources.working import working_table
 
 ENRICHED_COLUMNS = (
     "id", "uid", "username", "created_at", "closed_at", "comment", "created_by",
@@ -28,17 +29,15 @@ def enrich_changesets(
 ) -> DataFrame:
     """One row per member changeset that has element history, with counters and country.
 
-    ``index`` comes from `prepared_index`. ``ds`` is the newest ``created_at`` among
-    the kept changesets, history or not. That date and the number of kept changesets
-    (which decides how history is restricted) come from one narrow pass over the
-    changesets, two numbers to the driver.
+    ``index`` comes from `prepared_index`. The kept changesets are a small part of
+    all changesets, so they are written once and the full table is scanned once;
+    their number decides how history is restricted. ``ds`` is the newest
+    ``created_at`` among them, with or without history.
     """
-    kept = member_semi_join(changesets, members, since)
-    rows, newest = kept.agg(
-        F.count("*"), F.max(F.col("created_at").cast("timestamp_ntz").cast("date"))
-    ).first()
-    rollup = rollup_for(history, kept, rows)
-    joined = changeset_columns(kept).join(rollup, F.col("id") == F.col("changeset"))
+    base = working_table(changeset_columns(member_semi_join(changesets, members, since)), "kept")
+    rows, newest = base.agg(F.count("*"), F.max(F.col("created_at").cast("date"))).first()
+    rollup = rollup_for(history, base, rows)
+    joined = base.join(rollup, F.col("id") == F.col("changeset"))
     located = locate(joined, index, cell)
     return located.select(
         *ENRICHED_COLUMNS,

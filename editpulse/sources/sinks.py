@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from editpulse.functions.wkb import point_wkb
@@ -50,8 +49,11 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_tiles(tiles: DataFrame, path: str) -> None:
-    """Tile buckets, one folder per zoom and tile column."""
-    tiles.write.mode("overwrite").partitionBy("z", "x").option("compression", "zstd").parquet(path)
+    """Tile buckets, one folder per zoom and tile column.
+
+    Rebalancing gives each folder few files; AQE cuts up a crowded tile column.
+    """
+    tiles.hint("rebalance", "x").write.mode("overwrite").partitionBy("z", "x").option("compression", "zstd").parquet(path)
 
 
 def write_marker(spark: SparkSession, ds: str, path: str) -> None:

@@ -17,8 +17,8 @@ from editpulse.operators.documents import chapters_document, monthly_document
 from editpulse.operators.features import tile_features
 from editpulse.operators.rollup import rollup_for
 from editpulse.operators.sizing import broadcast_if_small, measured_bytes
-from editpulse.plans.dashboard import working_table
 from editpulse.sources import standin
+from editpulse.sources.working import working_table
 
 SF = "/root/testdata/sf0.001"
 
