@@ -144,7 +144,7 @@ def h3_cell_parent(spark: SparkSession, sf: str) -> DataFrame:
     digits = F.expr(
         "shiftleft((l_orderkey * 7919 + l_partkey * 31 + l_linenumber) % 1073741824, 21)"
     )
-    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_linenumber")
+    items = standin.given_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     base = F.lit((1 << 59) | (8 << 52) | (1 << 51) | ((1 << 21) - 1))
     cell = F.lower(F.hex(digits.bitwiseOR(base))).alias("h3")
     return items.select("l_orderkey", "l_partkey", "l_linenumber", cell).select(

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.orc.filterPushdown": "true",
+    # call-site capture costs a few round trips per Column operation
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
