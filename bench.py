@@ -1,6 +1,6 @@
 """Time the headline queries; prints one JSON line.
 
-``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_RUNS`` (default 3).
+``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default 8), ``BENCH_RUNS`` (default 1).
 Each query is run once to warm up, then timed; the value is the sum of medians.
 """
 
@@ -35,7 +35,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = build_session(
         "bench",
         f"local[{cpus}]",
