@@ -29,15 +29,18 @@ def enrich_changesets(
 ) -> DataFrame:
     """One row per member changeset that has element history, with counters and country.
 
-    ``index`` comes from `prepared_index`. The kept changesets are a small part of
-    all changesets, so they are written once and the full table is scanned once;
-    their number decides how history is restricted. ``ds`` is the newest
-    ``created_at`` among them, with or without history.
+    ``index`` comes from `prepared_index`. A first pass reads only id, member and date
+    of the changesets and writes the kept ids; their number decides how history is
+    restricted, and ``ds`` is the newest date among them, with or without history.
+    The second pass reads the other columns a caller asks for.
     """
-    base = working_table(changeset_columns(member_semi_join(changesets, members, since)), "kept")
-    rows, newest = base.agg(F.count("*"), F.max(F.col("created_at").cast("date"))).first()
-    rollup = rollup_for(history, base, rows)
-    joined = base.join(rollup, F.col("id") == F.col("changeset"))
+    kept = member_semi_join(changesets, members, since)
+    ids = working_table(
+        kept.select("id", F.col("created_at").cast("timestamp_ntz").cast("date").alias("day")), "kept"
+    )
+    rows, newest = ids.agg(F.count("*"), F.max("day")).first()
+    rollup = rollup_for(history, ids, rows)
+    joined = changeset_columns(kept).join(rollup, F.col("id") == F.col("changeset"))
     located = locate(joined, index, cell)
     return located.select(
         *ENRICHED_COLUMNS,
