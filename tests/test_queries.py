@@ -6,9 +6,10 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
+from editpulse.checks.oracle import ORACLE as SQL
+from editpulse.checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +18,12 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, connection, name):
-    assert compare(spark, connection, entry.queries()[name], SQL[name], SF) is None
+    assert compare(spark, connection, QUERIES[name], SQL[name], SF) is None
 
 
 def test_entry_has_rows(spark):
