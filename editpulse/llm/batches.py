@@ -28,7 +28,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-_BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64))
+BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -69,6 +69,6 @@ def word_hashes(offsets: np.ndarray, raw: np.ndarray, outside: np.ndarray = SPAC
     last[offsets[1:][offsets[1:] > 0] - 1] = True
     ends = np.flatnonzero(inside & last) + 1
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODES[LOWERED[raw]] * powers(BASE, n), out=sums[1:])
+    np.cumsum(BYTE_CODES[LOWERED[raw]] * powers(BASE, n), out=sums[1:])
     hashes = mixed((sums[ends] - sums[starts]) * powers(BASE_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
     return hashes, np.searchsorted(starts, offsets)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from editpulse.llm import bpe, chat, decontaminate, line_dedup, minhash, quality, syncmers, toxicity, url_filter
+from editpulse.llm import bpe, chat, decontaminate, line_dedup, minhash, quality, suffixes, syncmers, toxicity, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_minhash": minhash.op2_minhash,
+    "op3_suffix_dedup": suffixes.op3_suffix_dedup,
     "op4_fingerprints": syncmers.op4_fingerprints,
     "op5_chat_formatting": chat.op5_chat_formatting,
     "op6_toxicity": toxicity.op6_toxicity,
