@@ -95,19 +95,22 @@ def exact_matches(docs: DataFrame, windows: DataFrame, vocabulary: DataFrame) ->
         one["window_id"].eqNullSafe(two["window_id"]) & one["_ll_id"].eqNullSafe(two["_ll_id"])
         & one["_ll_hash"].eqNullSafe(two["_ll_hash"]) & one["start"].eqNullSafe(two["start"])
     )
-    both = one.join(two, on, "left_semi").distinct().join(broadcast_if_small(windows.select("window_id", "window")), "window_id")
+    phrases = windows.select("window_id", F.array_join("window", " ").alias("phrase"), F.size("window").alias("n"))
+    both = one.join(two, on, "left_semi").distinct().join(broadcast_if_small(phrases), "window_id")
     found = both.groupBy(F.col("_ll_id").alias("_ll_cid"), F.col("_ll_hash").alias("_ll_chash")).agg(
-        F.collect_list(F.struct("window_id", "start", "window")).alias("_ll_found")
+        F.collect_list(F.struct("window_id", "start", "phrase", "n")).alias("_ll_found")
     )
+    found = broadcast_if_small(working_table(found, "candidates"))
     same = F.col("_ll_id").eqNullSafe(F.col("_ll_cid")) & (F.col("_ll_hash") == F.col("_ll_chash"))
-    texts = docs.withColumn("_ll_words", words_of(F.col("_ll_text"))).select("_ll_id", "_ll_hash", "_ll_words").dropDuplicates(["_ll_id", "_ll_hash"])
-    held = texts.join(found, same).select(
-        "_ll_id", "_ll_hash",
-        F.filter(
-            "_ll_found", lambda c: F.slice(F.col("_ll_words"), c["start"] + 1, F.size(c["window"])) == c["window"]
-        ).alias("_ll_found"),
-    )
-    spans = F.transform("_ll_found", lambda c: F.sequence(c["start"], c["start"] + F.size(c["window"]) - 1))
+    # the one-element array binds the words, so that they are split once per document
+    tested = F.transform(
+        F.array(words_of(F.col("_ll_text"))),
+        lambda words: F.filter(
+            "_ll_found", lambda c: F.array_join(F.slice(words, c["start"] + 1, c["n"]), " ") == c["phrase"]
+        ),
+    )[0]
+    held = docs.join(found, same).select("_ll_id", "_ll_hash", tested.alias("_ll_found")).dropDuplicates(["_ll_id", "_ll_hash"])
+    spans = F.transform("_ll_found", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1))
     return held.where(F.size("_ll_found") > 0).select(
         F.col("_ll_id").alias("_ll_mid"),
         F.col("_ll_hash").alias("_ll_mhash"),
