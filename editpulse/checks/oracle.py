@@ -147,7 +147,7 @@ def cell(level: int, x: str = "lon", y: str = "lat") -> str:
 
     return (
         f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN '{level}:' || "
-        f"{part(f'({x} + 180) / 360')} || ':' || {part(f'({y} + 90) / 180')} END"
+        f"{part(f'({x} + 180) / 360')} || ':' || {part(f'({y} + 90) / 360')} END"
     )
 
 
@@ -205,7 +205,7 @@ DAILY_COLUMNS = (
     f"h3, uid, created_at, chapter_id, {', '.join(FLAT)}, xmin, ymin, xmax, ymax, lon, lat, n_points, n_boxes"
 )
 
-WEEKLY = """SELECT chapter_id, date_trunc('week', created_at)::DATE AS week,
+WEEKLY = """SELECT chapter_id, date_trunc('week', created_at)::TIMESTAMP AS week,
   sum(features_new + features_edited)::INT AS all_feats,
   sum(buildings_new + buildings_edited)::INT AS buildings,
   sum(highways_new + highways_edited)::INT AS highways,
@@ -383,6 +383,9 @@ ORACLE: dict[str, str] = {
         [CHANGESETS, MEMBERS, NEWEST, KEPT], "SELECT id, uid, created_at, members_ds FROM kept"
     ),
     "changeset_rollup": _with([CHANGESETS, MEMBERS, NEWEST, KEPT, HISTORY, ROLLUP], "SELECT * FROM ru"),
+    "changeset_rollup_shuffled": _with(
+        [CHANGESETS, MEMBERS, NEWEST, KEPT, HISTORY, ROLLUP], "SELECT * FROM ru"
+    ),
     "conditional_struct_flat": _with(
         ORDERS_ACTIVITY[:-1],
         "SELECT DISTINCT id, "

@@ -103,6 +103,11 @@ def member_semi_join(spark: SparkSession, sf: str) -> DataFrame:
     return _kept(spark, sf).select("id", "uid", "created_at", "members_ds")
 
 
+def changeset_rollup_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    kept = _kept(spark, sf).select("id")
+    return rollup_for(standin.history(spark, sf), kept, kept.count(), broadcast_limit=0)
+
+
 def changeset_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return _rollup(spark, sf)
 
@@ -341,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "one_chapter_per_member": one_chapter_per_member,
     "member_semi_join": member_semi_join,
     "changeset_rollup": changeset_rollup,
+    "changeset_rollup_shuffled": changeset_rollup_shuffled,
     "conditional_struct_flat": conditional_struct_flat,
     "point_in_polygon_join": point_in_polygon_join,
     "enriched_changesets": enriched_changesets,

@@ -1,7 +1,7 @@
 """Cell ids of points and their parents (G4, G5), slippy tiles.
 
 Cells form a square grid in longitude/latitude: level ``n`` cuts each axis into
-``2**n`` parts and a cell is named ``n:x:y``. A parent is a plain right shift.
+``2**n`` parts of 360 degrees (latitudes fill half of them) and a cell is named ``n:x:y``. A parent is a plain right shift.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def cell_of_point(lon: Column, lat: Column, resolution: int = 8) -> Column:
     """Cell id of a point; NULL for a NULL point."""
     level = LEVEL_OF_RESOLUTION[resolution]
     x = _bin((lon + F.lit(180.0)) / F.lit(360.0), 1 << level)
-    y = _bin((lat + F.lit(90.0)) / F.lit(180.0), 1 << level)
+    y = _bin((lat + F.lit(90.0)) / F.lit(360.0), 1 << level)
     return _cell_id(level, x, y)
 
 

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from editpulse.schemas import METRICS
 
 
 def int_struct(**fields: Column) -> Column:
@@ -26,11 +25,6 @@ def summed(group: str, field: str) -> Column:
     return F.coalesce(F.sum(F.col(group)[field]), F.lit(0))
 
 
-def summed_struct(group: str) -> Column:
-    """All fields of one counter group summed into an INT struct."""
-    return int_struct(**{field: summed(group, field) for field in METRICS[group]}).alias(group)
-
-
 def touched(group: str) -> Column:
     """new + edited of one group."""
     return F.col(group)["new"] + F.col(group)["edited"]

@@ -13,7 +13,7 @@ from editpulse.functions.timebins import month_label, month_start, trailing_mont
 
 def weekly_chapters(daily: DataFrame) -> DataFrame:
     """Totals and distinct mappers per chapter and ISO week."""
-    return daily.groupBy("chapter_id", week(F.col("created_at")).alias("week")).agg(
+    return daily.groupBy("chapter_id", week(F.col("created_at")).cast("timestamp_ntz").alias("week")).agg(
         F.sum(touched("features")).cast("int").alias("all_feats"),
         F.sum(touched("buildings")).cast("int").alias("buildings"),
         F.sum(touched("highways")).cast("int").alias("highways"),

@@ -19,11 +19,12 @@ LAYERS = {
 
 
 def geometry_of(df: DataFrame) -> Column:
-    """GeoJSON geometry struct: a polygon for box columns, else a point."""
+    """GeoJSON geometry struct: a polygon for box columns, else a point, null without coordinates."""
     if "xmin" in df.columns:
         ring = envelope_ring(*[F.col(c) for c in BOX])
         return F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
-    return F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
+    point = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
+    return F.when(F.col("lon").isNotNull() & F.col("lat").isNotNull(), point)
 
 
 def feature_lines(df: DataFrame) -> DataFrame:

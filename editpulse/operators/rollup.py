@@ -55,18 +55,20 @@ def changeset_rollup(history: DataFrame) -> DataFrame:
     )
 
 
-def rollup_for(history: DataFrame, kept: DataFrame, kept_rows: int) -> DataFrame:
+def rollup_for(
+    history: DataFrame, kept: DataFrame, kept_rows: int, broadcast_limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """Rollup of the history that belongs to the ``kept`` changeset ids.
 
     Few ids: they are broadcast and history is filtered in the scan stage, before
     anything is shuffled. Many ids: history is aggregated first (partial counts are
-    what is shuffled, so no changeset can be hot) and the caller's inner join on
-    the changeset id does the filtering.
+    what is shuffled, so no changeset can be hot), and the aggregate, which is already
+    exchanged on the changeset id, is semi-joined with them. Both ways give the same rows.
     """
-    if kept_rows * 32 <= BROADCAST_BYTES:
-        ids = F.broadcast(kept.select(F.col("id").alias("changeset")))
-        history = history.join(ids, "changeset", "left_semi")
-    return changeset_rollup(history)
+    ids = kept.select(F.col("id").alias("changeset"))
+    if kept_rows * 32 <= broadcast_limit:
+        return changeset_rollup(history.join(F.broadcast(ids), "changeset", "left_semi"))
+    return changeset_rollup(history).join(ids.hint("merge"), "changeset", "left_semi")
 
 
 def _group(name: str) -> dict[str, Column]:

@@ -36,7 +36,7 @@ def write_partitioned(df: DataFrame, path: str, column: str = "ds", keep_others:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
 
 
 def write_lines(lines: DataFrame, path: str) -> None:

@@ -103,10 +103,10 @@ def test_weekly_csv(spark, released):
     assert ds == "2024-03-05" and sinks.read_marker(spark, f"{root}/{sinks.LATEST}") == ds
     rows = spark.read.option("header", True).csv(sinks.release_paths(root, ds)["weekly"]).collect()
     got = {(int(r["chapter_id"]), r["week"]): (int(r["all_feats"]), int(r["other"]), int(r["mappers"])) for r in rows}
-    assert got[(1, "2024-01-15")] == (3, -2, 1)
-    assert got[(2, "2024-01-29")] == (2, 0, 1)  # in two countries: counted per country
-    assert got[(2, "2024-03-04")] == (4, 0, 1)  # two chapters: counted twice, under the smaller
-    assert (2, "2014-12-29") in got
+    assert got[(1, "2024-01-15 00:00:00")] == (3, -2, 1)
+    assert got[(2, "2024-01-29 00:00:00")] == (2, 0, 1)  # in two countries: counted per country
+    assert got[(2, "2024-03-04 00:00:00")] == (4, 0, 1)  # two chapters: counted twice, under the smaller
+    assert (2, "2014-12-29 00:00:00") in got
 
 
 def test_monthly_document(spark, released):
