@@ -4,8 +4,7 @@ The index holds the postings (term, document, position) of every training word t
 benchmark word, written once to the shared folder. For each benchmark window the postings of its
 terms, rarest in the corpus first, are intersected after subtracting the term's offset: the two
 rarest lists meet in a join on (window, document, start); what is left must hold a posting at each
-further offset, which is tested on the document's own words. Proximity matches are documents where
-the two rarest terms of a window stand within ``slack`` words of their distance.
+further offset, which is tested on the document's own words. Proximity matches are not returned.
 
 Words are runs of digits, letters and all bytes beyond ASCII, A-Z lower-cased. A window is ten
 consecutive item words; an item of fewer is one window.
