@@ -167,6 +167,23 @@ def test_star_of_copies_around_a_later_original(spark):
     assert {r.component_id for r in found} == {0}
 
 
+def test_cell_bound_is_never_below_the_intersection(spark):
+    rng = np.random.default_rng(3)
+    full = rng.integers(0, 1 << 63, 6000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(full, n)) for n in (1, 7, 150, 160, 900, 4000, 5000)] + [full[:150], full[:140]]
+    held = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "doc_id long, shingles binary")
+    maps = minhash._cell_maps(held, held.select("doc_id"))
+    a, b = (maps.select([F.col(c).alias(f"{c}_{x}") for c in maps.columns]) for x in "ab")
+    pairs = a.join(b, F.col("id_a") < F.col("id_b")).select("id_a", "id_b", minhash._most_shared().alias("most")).collect()
+    assert len(pairs) == 36
+    for r in pairs:
+        one, other = sets[r.id_a], sets[r.id_b]
+        both = len(np.intersect1d(one, other))
+        assert both <= r.most <= min(len(one), len(other))
+        if max(len(one), len(other)) <= 160:  # and close to it for sets far smaller than the map
+            assert r.most <= both + 25
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 91)], "a long, b long")
     assert {(r.node, r.component) for r in connected_components(links).collect()} == {(i, 0) for i in range(1, 41)} | {(91, 90)}
