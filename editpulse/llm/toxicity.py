@@ -30,6 +30,7 @@ BUCKETS = 1 << 20
 SELECTED = 400
 MAX_LABELLED = 20_000  # rows the regression is fitted on; counts cover all labelled rows
 SWAP_WEIGHT = 10.0
+FIT_ROWS = 1_000  # rows that one step of the fit turns to floats at a time
 
 # Neutral mentions of groups.
 IDENTITY_TERMS = (
@@ -73,14 +74,24 @@ def word_buckets(rows: DataFrame) -> DataFrame:
 def _fit(x: np.ndarray, swapped: np.ndarray, y: np.ndarray, swap_weight: float, ridge: float = 1e-3) -> np.ndarray:
     """Weights and intercept by Newton steps; the swap term is quadratic in the weights."""
     n, k = x.shape
-    one = np.hstack([x, np.ones((n, 1))])
-    change = np.hstack([swapped - x, np.zeros((n, 1))])
-    fixed = swap_weight * (change.T @ change) / n + ridge * np.eye(k + 1)
+
+    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows with a constant, their changes and labels, few at a time: the driver holds bytes, not floats."""
+        for at in range(0, n, FIT_ROWS):
+            part = x[at : at + FIT_ROWS].astype(float)
+            change = swapped[at : at + FIT_ROWS] - part
+            pad = np.ones((len(part), 1))
+            yield np.hstack([part, pad]), np.hstack([change, 0 * pad]), y[at : at + FIT_ROWS]
+
+    fixed = swap_weight * sum(change.T @ change for _, change, _ in blocks()) / n + ridge * np.eye(k + 1)
     w = np.zeros(k + 1)
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(one @ w, -30, 30)))
-        slope = one.T @ (p - y) / n + fixed @ w
-        step = np.linalg.solve((one * (p * (1 - p))[:, None]).T @ one / n + fixed, slope)
+        slope, curve = fixed @ w, fixed.copy()
+        for one, _, own in blocks():
+            p = 1 / (1 + np.exp(-np.clip(one @ w, -30, 30)))
+            slope += one.T @ (p - own) / n
+            curve += (one * (p * (1 - p))[:, None]).T @ one / n
+        step = np.linalg.solve(curve, slope)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -127,7 +138,7 @@ def train(
         words.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_labelled)
         .select("toxic", F.array_intersect("words", wanted).alias("words")).collect()
     )
-    x = np.zeros((len(sample), len(keep)))
+    x = np.zeros((len(sample), len(keep)), dtype=np.uint8)
     for i, r in enumerate(sample):
         x[i, np.searchsorted(keep, r.words)] = 1
     y = np.array([r.toxic for r in sample], dtype=float)
