@@ -413,14 +413,13 @@ ORACLE: dict[str, str] = {
     ),
     "daily_bboxes": _with(
         [*EVENTS_ACTIVITY, DAILY],
-        "SELECT h3, uid, created_at, count(*) AS n_boxes, CASE WHEN count(*) <= 2 THEN "
-        "string_agg(concat_ws(' ', xmin, ymin, xmax, ymax), ';' ORDER BY concat_ws(' ', xmin, ymin, xmax, ymax)) "
-        "END AS bboxes FROM rows_d GROUP BY 1, 2, 3",
+        "SELECT h3, uid, created_at, d.n_boxes, r.xmin, r.ymin, r.xmax, r.ymax "
+        "FROM rows_d r JOIN daily d USING (h3, uid, created_at)",
     ),
     "daily_box_rows": _with(
         [*EVENTS_ACTIVITY, DAILY],
-        "SELECT r.h3, r.uid, r.created_at, r.xmin, r.ymin, r.xmax, r.ymax FROM rows_d r "
-        "JOIN daily d ON r.h3 = d.h3 AND r.uid = d.uid AND r.created_at = d.created_at WHERE d.n_boxes > 2",
+        """SELECT sha256('check{"h3":"' || h3 || '","uid":' || uid || ',"created_at":"' || created_at || '"}') AS row_key, """
+        "xmin, ymin, xmax, ymax FROM rows_d",
     ),
     "weekly_chapters": _with([*ORDERS_ACTIVITY, DAILY], WEEKLY),
     "weekly_chapters_events": _with([*EVENTS_ACTIVITY, DAILY], WEEKLY),
@@ -468,4 +467,9 @@ ORACLE: dict[str, str] = {
                      "timestamp, chapter_id, all_feats", 4, "r6agg"),
     ),
     "public_rollup": _with([*EVENTS_ACTIVITY, DAILY], PUBLIC),
+    "public_rollup_boxes": _with(
+        [*EVENTS_ACTIVITY, DAILY],
+        f"SELECT p.h3, p.created_at, p.chapter_id, p.a3, r.xmin, r.ymin, r.xmax, r.ymax "
+        f"FROM ({PUBLIC.replace('SELECT d.h3', 'SELECT d.uid, d.h3', 1)}) p JOIN rows_d r USING (h3, uid, created_at)",
+    ),
 }

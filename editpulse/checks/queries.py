@@ -208,26 +208,25 @@ def daily_point_union(spark: SparkSession, sf: str) -> DataFrame:
     return C.point_union(_events(spark, sf))
 
 
+def _boxes(*keys: str) -> list[str | Column]:
+    return [*keys, *[F.col("bbox")[c].cast("double").alias(c) for c in C.CORNERS]]
+
+
 def daily_bboxes(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole box lists per daily cell; the limit sends the longer ones to `daily_box_rows`."""
+    """Every box of every daily cell, found by the cell's key."""
     activity = working_table(_events(spark, sf), "activity")
-    daily = working_table(C.daily_cells(activity), "daily")
-    boxed = C.with_boxes(activity, daily, limit=BOX_LIMIT)
-    text = F.transform(
-        "bboxes", lambda b: F.concat_ws(" ", *[b[c].cast("double").cast("string") for c in C.CORNERS])
-    )
-    return boxed.select(*C.KEYS, "n_boxes", F.array_join(F.array_sort(text), ";").alias("bboxes"))
+    daily = C.with_row_key(working_table(C.daily_cells(activity), "daily"), SALT)
+    boxed = daily.select(*C.KEYS, "n_boxes", "row_key").join(C.box_rows(activity, SALT), "row_key")
+    return boxed.select(*_boxes(*C.KEYS, "n_boxes"))
 
 
 def daily_box_rows(spark: SparkSession, sf: str) -> DataFrame:
-    activity = working_table(_events(spark, sf), "activity")
-    daily = working_table(C.daily_cells(activity), "daily")
-    rows = C.box_rows(activity, daily, limit=BOX_LIMIT)
-    return rows.select(*C.KEYS, *[F.col("bbox")[c].cast("double").alias(c) for c in C.CORNERS])
+    """The boxes as they are published, with nothing but their key."""
+    return C.box_rows(_events(spark, sf), SALT).select(*_boxes("row_key"))
 
 
-# Low here so that both forms of the list occur in the stand-in data.
-BOX_LIMIT = 2
+# Fixed here so that SQL can compute the keys; a run draws its own.
+SALT = "check"
 
 
 def weekly_chapters(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,22 +315,31 @@ def point_in_polygon_join(spark: SparkSession, sf: str) -> DataFrame:
     return locate(points, index, CELL)
 
 
+def _public_rollup(spark: SparkSession, sf: str, activity: DataFrame) -> DataFrame:
+    daily = C.with_row_key(working_table(C.daily_cells(activity), "daily"), SALT)
+    index = prepared_index(standin.boundaries(spark, sf), CELL)
+    return public_rollup(daily, _newest_members(spark, sf), standin.boundaries(spark, sf), index, CELL)
+
+
 def public_rollup_flat(spark: SparkSession, sf: str) -> DataFrame:
     activity = working_table(_events(spark, sf), "activity")
-    daily = working_table(C.daily_cells(activity), "daily")
-    boxed = C.with_boxes(activity, daily)
-    countries = standin.boundaries(spark, sf)
-    rollup = public_rollup(
-        boxed, _newest_members(spark, sf), countries, prepared_index(countries, CELL), CELL
-    )
-    return rollup.select(
-        "h3", "created_at", *_flat(METRICS), F.size("bboxes").alias("n_bboxes"), "chapter_id", "chapter",
+    return _public_rollup(spark, sf, activity).select(
+        "h3", "created_at", *_flat(METRICS), F.col("n_boxes").cast("int").alias("n_bboxes"), "chapter_id", "chapter",
         "chapter_country", "chapter_city", "chapter_location", "a3", "country",
         F.col("country_name.primary").alias("country_name"), F.col("region.continent").alias("continent"),
         "lon", "lat",
     )
 
 
+def public_rollup_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every published row with each of its boxes, joined by nothing but the key."""
+    activity = working_table(_events(spark, sf), "activity")
+    boxes = C.box_rows(activity, SALT)
+    return _public_rollup(spark, sf, activity).join(boxes, "row_key").select(
+        *_boxes("h3", "created_at", "chapter_id", "a3")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "tag_extract": tag_extract,
     "hashtag_split": hashtag_split,
@@ -377,4 +385,5 @@ QUERIES: dict[str, Query] = {
     "tile_boxes": tile_boxes,
     "tile_coarse": tile_coarse,
     "public_rollup": public_rollup_flat,
+    "public_rollup_boxes": public_rollup_boxes,
 }

@@ -1,4 +1,4 @@
-"""Per-cell aggregates (A2, A6, A10-A15) and their list columns.
+"""Per-cell aggregates (A2, A6, A10-A15) and the boxes of each cell.
 
 Centroids are the mean of the *distinct* points of a group. Both stages below
 combine on the map side, and the first is keyed by the point as well, so a cell,
@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 from editpulse.functions.grid import parent_cell
 from editpulse.functions.metrics import int_struct, summed, touched
 from editpulse.functions.timebins import day, epoch_seconds, week
-from editpulse.operators.sizing import BROADCAST_BYTES, broadcast_if_small
 from editpulse.schemas import METRICS
 
 KEYS = ("h3", "uid", "created_at")
 CORNERS = {"xmin": F.min, "ymin": F.min, "xmax": F.max, "ymax": F.max}
-# Longest list kept inside one row; longer ones stay as rows, see `box_rows`.
-MAX_LIST = 10_000
 
 
 def _daily_rows(activity: DataFrame) -> DataFrame:
@@ -89,35 +86,23 @@ def point_union(activity: DataFrame) -> DataFrame:
     return _daily_rows(activity).select(*KEYS, "lon", "lat").distinct()
 
 
-def box_rows(activity: DataFrame, daily: DataFrame, limit: int = MAX_LIST) -> DataFrame:
-    """Boxes of the daily cells whose list is too long for one row, one row per box."""
-    long_cells = daily.where(F.col("n_boxes") > limit).select(*KEYS)
-    return _daily_rows(activity).select(*KEYS, "bbox").join(
-        broadcast_if_small(long_cells), list(KEYS), "left_semi"
-    )
+def row_key(salt: str) -> Column:
+    """Opaque name of a daily row; without the salt it cannot be led back to the member."""
+    return F.sha2(F.concat(F.lit(salt), F.to_json(F.struct(*KEYS))), 256).alias("row_key")
+
 
+def with_row_key(daily: DataFrame, salt: str) -> DataFrame:
+    """Daily cells plus ``row_key``, which `box_rows` with the same salt gives their boxes."""
+    return daily.withColumn("row_key", row_key(salt))
 
-def with_boxes(
-    activity: DataFrame,
-    daily: DataFrame,
-    limit: int = MAX_LIST,
-    broadcast_limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Daily cells plus ``bboxes``, all boxes of the cell in one sorted list.
 
-    Cells with more than ``limit`` boxes have a NULL list, since no single row may
-    grow without bound; `box_rows` returns every box of exactly those cells. The
-    envelope and the counts always cover all boxes.
+def box_rows(activity: DataFrame, salt: str) -> DataFrame:
+    """Every box of every daily cell (A11) as a row: ``row_key, bbox``.
+
+    Rows instead of a list, whatever their number: no row grows with a busy cell, and
+    nothing is shuffled. The salt is fixed for a run, so a repeated task gives equal keys.
     """
-    long_cells = daily.where(F.col("n_boxes") > limit).select(*KEYS)
-    lists = (
-        _daily_rows(activity)
-        .select(*KEYS, "bbox")
-        .join(broadcast_if_small(long_cells, broadcast_limit), list(KEYS), "left_anti")
-        .groupBy(*KEYS)
-        .agg(F.array_sort(F.collect_list("bbox")).alias("bboxes"))
-    )
-    return daily.join(lists, list(KEYS), "left")
+    return _daily_rows(activity).select(row_key(salt), "bbox")
 
 
 def daily_points(daily: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import secrets
 
 from pyspark.sql import SparkSession
 
@@ -59,10 +60,12 @@ def run(
         sinks.write_lines(feature_lines(features), f"{output.rstrip('/')}/features/{layer}")
         sinks.write_tiles(tile_features(features, layer), paths[layer])
 
-    boxed = C.with_boxes(activity, daily) if keep_boxes else daily
-    rollup = public_rollup(boxed, people, countries, prepared_index(countries))
+    salt = secrets.token_hex(16)
+    rollup = public_rollup(
+        C.with_row_key(daily, salt), people, countries, prepared_index(countries), keep_boxes=keep_boxes
+    )
     sinks.write_parquet(sinks.with_geometry(rollup), paths["rollup"])
     if keep_boxes:
-        sinks.write_parquet(C.box_rows(activity, daily).drop("uid"), f"{paths['rollup']}.long_boxes")
+        sinks.write_parquet(C.box_rows(activity, salt), f"{paths['rollup']}.boxes")
     sinks.write_marker(spark, ds, f"{output.rstrip('/')}/{sinks.LATEST}")
     return ds

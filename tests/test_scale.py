@@ -138,14 +138,26 @@ def test_hot_cell_daily_aggregate(spark, activity):
     assert "collect" not in plan and "Window" not in plan
 
 
-def test_box_lists_and_box_rows_cover_everything(activity, daily):
-    boxed = C.with_boxes(activity, daily, limit=2)
-    listed = total(boxed, "coalesce(size(bboxes), 0)")
-    spilled = C.box_rows(activity, daily, limit=2).count()
-    assert spilled > 0 and listed > 0
-    assert listed + spilled == activity.where("lon IS NOT NULL").count()
-    assert boxed.where("(bboxes IS NULL) != (n_boxes > 2)").count() == 0
-    assert boxed.where("bboxes IS NOT NULL AND size(bboxes) != n_boxes").count() == 0
+def test_every_box_is_found_by_its_key(activity, daily):
+    boxes = C.box_rows(activity, "salt")
+    assert boxes.count() == activity.where("lon IS NOT NULL AND lat IS NOT NULL").count()
+    counted = boxes.groupBy("row_key").count()
+    keyed = C.with_row_key(daily, "salt")
+    assert keyed.select("row_key").distinct().count() == daily.count()
+    assert keyed.join(counted, "row_key").where("n_boxes = count").count() == daily.count()
+    assert C.with_row_key(daily, "other").join(boxes, "row_key").count() == 0
+    plan = boxes._jdf.queryExecution().executedPlan().toString()
+    assert "collect" not in plan
+
+
+def test_crowded_cell_keeps_its_boxes_apart(spark, activity):
+    """50,000 boxes of one member and a few of another, in the same cell and on the same day."""
+    first = activity.where("lon IS NOT NULL").limit(1)
+    copies = first.crossJoin(spark.range(50_003).withColumnRenamed("id", "n"))
+    crowded = copies.withColumn("uid", F.when(F.col("n") < 50_000, F.lit(1)).otherwise(F.lit(2)).cast("long")).drop("n")
+    keyed = C.with_row_key(C.daily_cells(crowded), "salt")
+    got = keyed.join(C.box_rows(crowded, "salt"), "row_key").groupBy("uid").count().collect()
+    assert {r["uid"]: r["count"] for r in got} == {1: 50_000, 2: 3}
 
 
 def test_totals_agree(activity, daily):
