@@ -29,8 +29,10 @@ def run(
     keep_boxes: bool = True,
 ) -> str:
     """Build every dashboard output from the latest enriched partition; return its ``ds``."""
-    changesets = tables.read_enriched(spark, enriched)
-    ds = changesets.select("ds").first()["ds"]
+    ds = tables.newest_partition(spark, enriched)
+    if ds is None:
+        raise ValueError(f"no ds= partition with rows in {enriched}")
+    changesets = tables.read_enriched(spark, enriched, ds)
     people = tables.members_as_of(tables.read_members(spark, members), changesets)
     if single_chapter:
         people = one_chapter_per_member(people)

@@ -53,6 +53,7 @@ def read_enriched(spark: SparkSession, path: str, ds: str | None = None) -> Data
     raw = spark.read.parquet(path)
     if "ds" in raw.columns:
         raw = raw.withColumn("ds", F.col("ds").cast("string"))
+        ds = ds or newest_partition(spark, path)
         raw = raw.where(F.col("ds") == ds) if ds else latest_partition(raw)
     if "lon" not in raw.columns:
         raw = raw.withColumn("_p", point_xy("geometry"))
@@ -66,8 +67,28 @@ def with_cell(changesets: DataFrame) -> DataFrame:
     return changesets.withColumn("h3", cell_of_point(F.col("lon"), F.col("lat"), 8))
 
 
+def newest_partition(spark: SparkSession, path: str, column: str = "ds") -> str | None:
+    """Largest ``column=value`` folder of a table with files in it, from one listing; no file is opened.
+
+    None if the table is not laid out in such folders.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    prefix, default = f"{column}=", f"{column}=__HIVE_DEFAULT_PARTITION__"
+    names = [f.getPath().getName() for f in files.listStatus(root) if f.isDirectory()]
+    for name in sorted((n for n in names if n.startswith(prefix) and n != default), reverse=True):
+        inside = [f.getPath().getName() for f in files.listStatus(hadoop.Path(root, name))]
+        if any(not n.startswith(("_", ".")) for n in inside):
+            return name.removeprefix(prefix)
+    return None
+
+
 def latest_partition(df: DataFrame, column: str = "ds") -> DataFrame:
-    """Rows of the newest partition; the scalar subquery prunes partitions at run time."""
+    """Rows of the newest partition; the scalar subquery prunes partitions at run time.
+
+    For a table in a folder, `newest_partition` finds the value without reading anything.
+    """
     return df.where(F.col(column) == df.select(F.max(column)).scalar())
 
 

@@ -167,11 +167,29 @@ def test_single_chapter_option(spark, inputs, enriched, tmp_path):
         single_chapter=True, keep_boxes=False,
     )
     rows = spark.read.option("header", True).csv(sinks.release_paths(str(tmp_path), ds)["weekly"])
-    assert rows.where("chapter_id = 2 AND week = '2024-03-04'").first()["all_feats"] == "2"
+    assert rows.where("chapter_id = 2 AND week = '2024-03-04 00:00:00'").first()["all_feats"] == "2"
     rollup = spark.read.parquet(sinks.release_paths(str(tmp_path), ds)["rollup"])
     assert not {"row_key", "envelope", "n_boxes", "n_points"} & set(rollup.columns)
 
 
+def test_newest_partition_comes_from_the_listing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("SELECT 1 AS id, '2024-01-09' AS ds UNION ALL SELECT 2, '2024-01-30'").write.partitionBy("ds").parquet(path)
+    (tmp_path / "t" / "ds=2024-02-01").mkdir()  # begun, but nothing written
+    assert tables.newest_partition(spark, path) == "2024-01-30"
+    flat = str(tmp_path / "flat")
+    spark.range(1).write.parquet(flat)
+    assert tables.newest_partition(spark, flat) is None
+
+
+def test_empty_enriched_table_is_named(spark, inputs, tmp_path):
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="no ds= partition"):
+        dashboard.run(
+            spark, str(tmp_path / "none"), inputs["members"], inputs["boundaries"], str(tmp_path / "out"), fixtures.RUN_DATE
+        )
+
+
 def test_members_as_of_and_partition_pruning(spark, inputs):
     people = tables.read_members(spark, inputs["members"])
     assert dict(people.dtypes)["ds"] == "string" and "chapter_id" in people.columns
