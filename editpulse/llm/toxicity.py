@@ -1,9 +1,12 @@
 """Toxicity by a counterfactual-regularised linear classifier (operator 6).
 
-A text's features are the distinct lower-cased words it holds, hashed to buckets. Document counts of
-each bucket by label, over all labelled training rows, choose the buckets with the largest
+A text's features are the distinct lower-cased words it holds and the prefixes of ``PREFIX`` letters of
+longer words, hashed to buckets; inflected and compound forms of a rare word share a prefix. Words
+that begin like an identity term give no prefix, so groups are named by the terms alone. Document
+counts of each bucket by label, over all labelled training rows, choose the buckets with the largest
 chi-square; their number is bounded, so only they reach the driver. A logistic regression is fitted
-on a bounded sample of labelled rows. For each sampled row the identity terms it holds are swapped
+on a bounded sample of labelled rows; its ridge is chosen by cross-validation inside them, each fold
+with buckets chosen without its rows. For each sampled row the identity terms it holds are swapped
 for others (a row without any gets one term, then another), and the squared change of the score is
 part of the loss: neutral mentions of a group cannot move a score.
 
@@ -21,13 +24,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editpulse.llm.batches import text_chunks, word_hashes
+from editpulse.llm.batches import BASE, mixed, text_chunks, word_hashes
 from editpulse.llm.columns import id_and_text, table
 from editpulse.operators.sizing import broadcast_if_small
 from editpulse.sources.working import working_table
 
 BUCKETS = 1 << 20
-SELECTED = 400
+SELECTED = 800
+LEAST_ROWS = 2  # labelled rows that hold a selected bucket
+PREFIX = 4
+RIDGES = (1e-3, 1e-4, 1e-5)  # strongest first
+FOLDS, FOLD_ROWS = 3, 4_000  # rows of the sample that choose the ridge
 MAX_LABELLED = 20_000  # rows the regression is fitted on; counts cover all labelled rows
 SWAP_WEIGHT = 10.0
 FIT_ROWS = 1_000  # rows that one step of the fit turns to floats at a time
@@ -43,15 +50,47 @@ OUTSIDE = np.ones(256, dtype=bool)  # words are letters and all bytes beyond ASC
 OUTSIDE[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
+def _cut_words(offsets: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """The chunk with all but the first ``PREFIX`` letters of each word blanked."""
+    inside = ~OUTSIDE[raw]
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    bounds = offsets[:-1][offsets[:-1] < len(raw)]
+    opens[bounds] = inside[bounds]
+    letters = np.cumsum((raw & 0xC0) != 0x80)
+    word = np.cumsum(opens) - 1  # -1 before the first word, where nothing is inside
+    beyond = np.zeros(len(raw), dtype=bool)
+    if opens.any():
+        beyond = inside & (letters - letters[opens][word] >= PREFIX)
+    return np.where(beyond, np.uint8(0x20), raw)
+
+
+def _hashes(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words, of their first letters, and each row's first word."""
+    words, first = word_hashes(offsets, raw, OUTSIDE)
+    return words, word_hashes(offsets, _cut_words(offsets, raw), OUTSIDE)[0], first
+
+
+def _of_terms() -> tuple[np.ndarray, np.ndarray]:
+    ((_, offsets, raw),) = text_chunks(pa.array(IDENTITY_TERMS))
+    words, prefixes, _ = _hashes(offsets, raw)
+    return np.unique(words), np.unique(prefixes)
+
+
+TERM_WORDS, TERM_PREFIXES = _of_terms()
+
+
 def _buckets(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hashes, first = word_hashes(offsets, raw, OUTSIDE)
-    return (hashes % np.uint64(BUCKETS)).astype(np.int64), first
+    """Two buckets for each word, its own and its prefix's (its own again if it has none), and each
+    row's first bucket."""
+    words, prefixes, first = _hashes(offsets, raw)
+    has = (words != prefixes) & ~np.isin(prefixes, TERM_PREFIXES)
+    both = np.stack([words, np.where(has, mixed(prefixes ^ BASE), words)], axis=1).ravel()
+    return (both % np.uint64(BUCKETS)).astype(np.int64), 2 * first
 
 
 def identity_buckets() -> np.ndarray:
-    column = pa.array(IDENTITY_TERMS)
-    ((_, offsets, raw),) = text_chunks(column)
-    return np.unique(_buckets(offsets, raw)[0])
+    return np.unique((TERM_WORDS % np.uint64(BUCKETS)).astype(np.int64))
 
 
 def word_buckets(rows: DataFrame) -> DataFrame:
@@ -71,8 +110,10 @@ def word_buckets(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(run, f"doc_id {kind}, toxic int, words array<int>")
 
 
-def _fit(x: np.ndarray, swapped: np.ndarray, y: np.ndarray, swap_weight: float, ridge: float = 1e-3) -> np.ndarray:
-    """Weights and intercept by Newton steps; the swap term is quadratic in the weights."""
+def _fit(
+    x: np.ndarray, swapped: np.ndarray, y: np.ndarray, swap_weight: float, ridge: float = 1e-3, start: np.ndarray | None = None
+) -> np.ndarray:
+    """Weights and intercept by Newton steps from ``start``; the swap term is quadratic in the weights."""
     n, k = x.shape
 
     def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -84,7 +125,7 @@ def _fit(x: np.ndarray, swapped: np.ndarray, y: np.ndarray, swap_weight: float,
             yield np.hstack([part, pad]), np.hstack([change, 0 * pad]), y[at : at + FIT_ROWS]
 
     fixed = swap_weight * sum(change.T @ change for _, change, _ in blocks()) / n + ridge * np.eye(k + 1)
-    w = np.zeros(k + 1)
+    w = np.zeros(k + 1) if start is None else start.copy()
     for _ in range(25):
         slope, curve = fixed @ w, fixed.copy()
         for one, _, own in blocks():
@@ -111,6 +152,50 @@ def _swap(x: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x, swapped
 
 
+def _with_swaps(x: np.ndarray, y: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planted, swapped = _swap(x, own)
+    return np.vstack([x, planted]), np.vstack([x, swapped]), np.concatenate([y, y])
+
+
+def _chosen_ridge(folds: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np.ndarray, swap_weight: float) -> float:
+    """The ridge with the least loss on left-out rows. ``folds`` has, for each fold, the features of
+    all rows, the places of the identity terms in them and the fold's rows."""
+    loss = np.zeros(len(RIDGES))
+    for x, own, out in folds:
+        if not 0 < y[~out].sum() < (~out).sum():
+            return RIDGES[0]
+        rows, w = _with_swaps(x[~out], y[~out], own), None
+        for i, ridge in enumerate(RIDGES):
+            w = _fit(*rows, swap_weight, ridge, w)
+            loss[i] += np.logaddexp(0, (1 - 2 * y[out]) * (x[out] @ w[:-1] + w[-1])).sum()
+    return RIDGES[int(np.argmin(loss))]
+
+
+def _rows_of(words: DataFrame, keep: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features as bytes, label, fold) of the first ``limit`` rows by hash of id; rows travel as bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(BUCKETS, -1, dtype=np.int32)
+        place[keep] = np.arange(len(keep))
+        for batch in batches:
+            for at in range(0, batch.num_rows, FIT_ROWS):
+                part = batch.slice(at, FIT_ROWS)
+                lists = part.column(3)
+                row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                own = place[lists.flatten().to_numpy()]
+                x = np.zeros((len(lists), len(keep)), dtype=np.uint8)
+                x[row[own >= 0], own[own >= 0]] = 1
+                bits = pa.array([r.tobytes() for r in np.packbits(x, axis=1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], bits], ["doc_id", "toxic", "fold", "bits"])
+
+    kind = words.schema["doc_id"].dataType.simpleString()
+    packed = words.select("doc_id", "toxic", "fold", "words").mapInArrow(run, f"doc_id {kind}, toxic int, fold int, bits binary")
+    rows = packed.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(limit).select("toxic", "fold", "bits").collect()
+    bits = np.frombuffer(b"".join(r.bits for r in rows), dtype=np.uint8).reshape(len(rows), -1)
+    x = np.unpackbits(bits, axis=1, count=len(keep))
+    return x, np.array([r.toxic for r in rows], dtype=float), np.array([r.fold for r in rows], dtype=int)
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -121,33 +206,47 @@ def train(
     """(bucket, weight) arrays and the intercept. ``labels`` has ``doc_id, toxic``."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.join(broadcast_if_small(marked), "doc_id")
-    words = working_table(word_buckets(rows), "toxicity-words")
+    fold = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(FOLDS)).cast("int")
+    words = working_table(word_buckets(rows).withColumn("fold", fold), "toxicity-words")
     total = words.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("pos")).first()
     base = (total.pos + 1) / (total.n + 2)
     prior = float(np.log(base / (1 - base)))
     terms = identity_buckets()
     if not 0 < total.pos < total.n:
         return np.zeros(0, np.int64), np.zeros(0), prior
-    counts = words.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("pos"))
-    expected = F.col("n") * F.lit(total.pos / total.n)
-    chi = (F.col("pos") - expected) ** 2 / (expected * F.lit(1 - total.pos / total.n))
-    top = counts.where(F.col("n") >= 5).orderBy(chi.desc(), "word").limit(selected).select("word").collect()
-    keep = np.unique(np.concatenate([[r.word for r in top], terms]).astype(np.int64))
-    wanted = F.array(*[F.lit(int(b)).cast("int") for b in keep])
-    sample = (
-        words.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_labelled)
-        .select("toxic", F.array_intersect("words", wanted).alias("words")).collect()
-    )
-    x = np.zeros((len(sample), len(keep)), dtype=np.uint8)
-    for i, r in enumerate(sample):
-        x[i, np.searchsorted(keep, r.words)] = 1
-    y = np.array([r.toxic for r in sample], dtype=float)
+    split = words.select("toxic", "fold", F.explode("words").alias("word")).groupBy("word").agg(*[
+        f(F.when(F.col("fold") == k, c)).alias(f"{a}{k}")
+        for k in range(FOLDS) for a, f, c in (("n", F.count, F.lit(1)), ("pos", F.sum, F.col("toxic")))
+    ])
+    split = working_table(split, "toxicity-counts")
+    shares = words.groupBy("fold").agg(F.count("*").alias("n"), F.sum("toxic").alias("pos")).collect()
+
+    def best(without: int | None) -> np.ndarray:
+        """Buckets with the largest chi-square over all rows but those of one fold, and the terms."""
+        used = [k for k in range(FOLDS) if k != without]
+        n = sum(r.n for r in shares if r.fold in used)
+        share = sum(r.pos for r in shares if r.fold in used) / max(1, n)
+        if not 0 < share < 1:
+            return terms
+        held = sum((F.col(f"n{k}") for k in used), F.lit(0))
+        expected = held * F.lit(share)
+        pos = sum((F.coalesce(f"pos{k}", F.lit(0)) for k in used), F.lit(0))
+        chi = (pos - expected) ** 2 / (expected * F.lit(1 - share))
+        top = split.where(held >= LEAST_ROWS).orderBy(chi.desc(), "word").limit(selected).select("word").collect()
+        return np.unique(np.concatenate([[r.word for r in top], terms]).astype(np.int64))
+
+    keep = best(None)
+    own = np.searchsorted(keep, terms)
+    folds = []
+    for k in range(FOLDS):
+        left = best(k)
+        x, y, fold = _rows_of(words, left, min(FOLD_ROWS, max_labelled))
+        folds.append((x, np.searchsorted(left, terms), fold == k))
+    ridge = _chosen_ridge(folds, y, swap_weight)
+    x, y, _ = _rows_of(words, keep, max_labelled)
     if not 0 < y.sum() < len(y):
         return np.zeros(0, np.int64), np.zeros(0), prior
-    own = np.searchsorted(keep, terms)
-    planted, swapped = _swap(x, own)
-    both = np.vstack([x, planted]), np.vstack([x, swapped])
-    w = _fit(*both, np.concatenate([y, y]), swap_weight)
+    w = _fit(*_with_swaps(x, y, own), swap_weight, ridge)
     return keep, w[:-1], float(w[-1])
 
 

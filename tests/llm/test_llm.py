@@ -107,6 +107,29 @@ def test_classifiers_on_held_out_rows(spark):
     assert np.mean(right) > 0.95 and len(kept) == 1000
 
 
+def test_toxic_rows_of_each_language_are_found(spark):
+    sf = "/root/testdata/sf0.1"
+    scored = QUERIES["op6_toxicity"](spark, sf).where("held_out")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    rows = scored.join(labels, "doc_id").join(docs, "doc_id").groupBy("lang").agg(
+        F.sum("toxic").alias("n"), F.sum(F.col("toxic") * F.col("predicted")).alias("found"),
+        F.sum((1 - F.col("toxic")) * F.col("predicted")).alias("alarms"),
+    ).collect()
+    print(rows)
+    share = {r.lang: r.found / r.n for r in rows}
+    assert len(share) == 4 and min(share.values()) >= 0.5 and sum(r.found for r in rows) >= 80 and sum(r.alarms for r in rows) <= 4
+
+
+def test_prefixes_of_words_and_terms(spark):
+    texts = ["Schulhaus schulbuch", "Müllers müll", "women womenfolk muslims muslim", "", "ab, cd", "xy schulhof"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("toxic", F.lit(0))
+    own = {r.doc_id: set(r.words) for r in toxicity.word_buckets(docs.select("doc_id", "toxic", "text")).collect()}
+    assert {i: len(own[i]) for i in own} == {0: 3, 1: 3, 2: 4, 3: 0, 4: 2, 5: 3}
+    assert len(own[0] & own[5]) == 1  # the prefix, also next to the end of a row
+    assert set(toxicity.identity_buckets()) & own[2] and not own[0] & own[1]
+
+
 def test_swapped_terms_get_near_equal_weights():
     terms = np.array([0, 1])
     x = np.array([[1, 0, 1], [0, 1, 0], [1, 0, 1], [0, 1, 0]], dtype=float)
