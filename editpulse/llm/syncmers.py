@@ -1,16 +1,19 @@
 """Document fingerprints from closed syncmers (operator 4); DataFrame functions only.
 
-A text is its sequence of words (split at white space). Of all runs of ``K`` words those are chosen
-whose smallest inner run of ``S`` words, by hash, is the first or the last one. Whether a run is
-chosen depends on nothing outside it, so a passage has the same anchors in every document. All steps
-are array functions over one row; running minima are built by doubling, never from all pairs.
-Texts of fewer than ``2 * K`` words are their words (each word is its own closed syncmer at K = 1).
+A text is its sequence of units: words cut after each vowel, digit, sign and character beyond ASCII
+(and after eight consonants), so that texts without white space have many units as well; ``K - 1``
+end marks follow. Of all runs of ``K`` units those are chosen whose smallest inner run of ``S`` units,
+by hash, is the first or the last one. Whether a run is chosen depends on nothing outside it, so a
+passage has the same anchors in every document; any ``2 * K - S - 1`` units in a row hold one. The end
+marks give a run to each unit of a text of any length, so one definition holds for all; a text with
+units has an anchor, since its last run is always chosen. All steps are array functions over one
+row; running minima are built by doubling, never from all pairs.
 
 The edited text of the registered query needs the next document in descending id order. Ids are cut
 into cells of about ``CELL`` documents; each cell also receives the last document of the cell
 before it, so one exchange of the texts and a window inside each cell find every neighbour.
 
-Defined cases: null is empty; texts without words have an empty fingerprint, which is like another
+Defined cases: null is empty; texts without units have an empty fingerprint, which is like another
 empty one (1.0) and like nothing else (0.0); rows with equal id are ordered by text hash, null ids
 come before all others; a single document is its own next one; an empty table gives no rows.
 """
@@ -25,9 +28,11 @@ from editpulse.llm.columns import id_and_text, table
 from editpulse.operators.sizing import broadcast_if_small
 from editpulse.sources.working import working_table
 
-K, S = 8, 2
+K, S = 5, 2
 CELL = 256
-_INNER = K - S + 1  # inner runs of a K-word run: 7 = 4 + 3
+_INNER = K - S + 1  # inner runs of a K-unit run
+_CONSONANTS = "B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz"
+UNITS = rf"[{_CONSONANTS}]{{0,7}}[^\x09-\x0D\x20{_CONSONANTS}]|[{_CONSONANTS}]{{1,8}}"
 _P = "_ll_"
 
 
@@ -36,28 +41,27 @@ def _after(column: str, n: int) -> Column:
 
 
 def with_anchors(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    """``df`` with ``out``: the anchors of ``text_col`` in text order, as (word position, 32-bit hash)."""
+    """``df`` with ``out``: the anchors of ``text_col`` in text order, as (unit position, 32-bit hash)."""
     smaller = lambda a, b: F.least(a, b)
     paired = lambda a, b: F.xxhash64(a, b)
     narrow = lambda h: F.pmod(h, F.lit(1 << 31)).cast("int")
     steps = [
-        ("words", F.array_remove(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[\x09-\x0D\x20]+"), "")),
-        ("hash", F.transform(_P + "words", lambda w: F.xxhash64(w))),
+        ("units", F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(UNITS), F.lit(0))),
+        ("marked", F.when(F.size(_P + "units") > 0, F.concat(_P + "units", F.array_repeat(F.lit(""), K - 1))).otherwise(F.col(_P + "units"))),
+        ("hash", F.transform(_P + "marked", lambda w: F.xxhash64(w))),
         ("two", F.zip_with(_P + "hash", _after(_P + "hash", 1), paired)),
         ("min2", F.zip_with(_P + "two", _after(_P + "two", 1), smaller)),
-        ("min4", F.zip_with(_P + "min2", _after(_P + "min2", 2), smaller)),
-        ("four", F.zip_with(_P + "two", _after(_P + "two", 2), paired)),
-        ("min", F.zip_with(_P + "min4", _after(_P + "min4", 3), smaller)),
+        ("min", F.zip_with(_P + "min2", _after(_P + "min2", 2), smaller)),
         ("edge", F.zip_with(_P + "two", _after(_P + "two", _INNER - 1), smaller)),
-        ("eight", F.zip_with(_P + "four", _after(_P + "four", 4), paired)),
+        ("four", F.zip_with(_P + "two", _after(_P + "two", 2), paired)),
+        ("five", F.zip_with(_P + "four", _after(_P + "hash", K - 1), paired)),
         ("chosen", F.zip_with(_P + "min", _P + "edge", lambda m, e: m == e)),
-        ("run", F.slice(F.zip_with(_P + "eight", _P + "chosen", lambda h, c: F.when(c, h)), F.lit(1), F.greatest(F.size(_P + "hash") - K + 1, F.lit(0)))),
+        ("run", F.slice(F.zip_with(_P + "five", _P + "chosen", lambda h, c: F.when(c, h)), F.lit(1), F.size(_P + "units"))),
     ]
     for name, step in steps:
         df = df.withColumn(_P + name, step)
     anchor = lambda h, at: F.when(h.isNotNull(), F.struct(at.alias("at"), narrow(h).alias("hash")))
-    source = F.when(F.size(_P + "hash") < 2 * K, F.col(_P + "hash")).otherwise(F.col(_P + "run"))
-    df = df.withColumn(out, F.array_compact(F.transform(source, anchor)))
+    df = df.withColumn(out, F.array_compact(F.transform(_P + "run", anchor)))
     return df.drop(*[_P + name for name, _ in steps])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -72,6 +73,70 @@ def test_edited_texts_and_prints(spark):
     assert np.mean([r.near_edited for r in rows.values()]) > 0.2 > np.mean([r.near_next for r in rows.values()])
 
 
+def _near_edits(spark, rows):
+    """Likeness of each text to itself with its second half replaced by other words."""
+    pairs = [(i, t, t[: len(t) - len(t) // 2] + ("other words of no relation " * len(t))[: len(t) // 2]) for i, t in rows]
+    both = spark.createDataFrame(pairs, "doc_id long, text string, edited string")
+    both = syncmers.with_anchors(syncmers.with_anchors(both, "text", "a"), "edited", "b")
+    both = both.withColumns({"a": syncmers.anchor_hashes("a"), "b": syncmers.anchor_hashes("b")})
+    return {r.doc_id: r.near for r in both.select("doc_id", syncmers.likeness("a", "b").alias("near")).collect()}
+
+
+def test_every_half_kept_text_is_near(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where("text is not null")
+    rows = [(r.doc_id, r.text) for r in docs.where(F.size(F.split("text", r"\s+")).between(8, 40)).collect()]
+    rng = np.random.default_rng(1)
+    letters = "".join(chr(97 + i) for i in rng.integers(0, 26, 3000))
+    rows += [(-1, letters), (-2, "".join(chr(0x4E00 + i) for i in rng.integers(0, 5000, 300))), (-3, "q" * 3000)]
+    rows += [(-4, rng.bytes(2000).hex())]
+    near = _near_edits(spark, rows)
+    far = {i: x for i, x in near.items() if x == 0}
+    assert len(near) > 200 and not far, (len(far), len(near), [t for i, t in rows if i in far][:3])
+    cut = spark.createDataFrame([(1, letters, "x" + letters[:1500] + "y" + letters[1500:])], "doc_id long, a string, b string")
+    cut = syncmers.with_anchors(syncmers.with_anchors(cut, "a", "p"), "b", "q")
+    assert cut.select(syncmers.likeness(syncmers.anchor_hashes("p"), syncmers.anchor_hashes("q"))).first()[0] > 0.9
+
+
+def test_anchors_match_brute_force(spark):
+    texts = [t for _, t in _documents(spark)][:30] + ["", "a", "ab cd", " \t x ", "naïve café 42!", "bcdfghjklmnp", "日本語のテキスト"]
+    marked = syncmers.with_anchors(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text", "anchors").collect()
+    k, s, vowels = syncmers.K, syncmers.S, set("aeiouyAEIOUY")
+    runs = {}
+    for r in marked:
+        units = []
+        for word in re.split(r"[\x09-\x0D\x20]+", r.text):
+            unit = ""
+            for c in word:
+                consonant = c.isascii() and c.isalpha() and c not in vowels
+                if consonant and len(unit) == 8:
+                    units.append(unit)
+                    unit = ""
+                if not consonant and len(unit) == 8:
+                    units.append(unit)
+                    unit = ""
+                unit += c
+                if not consonant:
+                    units.append(unit)
+                    unit = ""
+            units += [unit] * bool(unit)
+        padded = units + [""] * (k - 1) * bool(units)
+        pairs = [tuple(padded[i : i + s]) for i in range(len(padded) - s + 1)]
+        runs[r.doc_id] = (padded, pairs, [a.at for a in r.anchors], [a.hash for a in r.anchors])
+    pairs = sorted({p for x in runs.values() for p in x[1]})
+    held = spark.createDataFrame(list(enumerate(pairs)), "i long, p array<string>")
+    hashed = {tuple(r.p): r.h for r in held.select("p", F.xxhash64(F.xxhash64(F.col("p")[0]), F.xxhash64(F.col("p")[1])).alias("h")).collect()}
+    seen = {}
+    for padded, own, places, names in runs.values():
+        expected = []
+        for i in range(len(padded) - k + 1):
+            inner = [hashed[p] for p in own[i : i + k - s + 1]]
+            if min(inner) in (inner[0], inner[-1]):
+                expected.append(i)
+        assert places == expected
+        for i, name in zip(places, names, strict=True):
+            assert seen.setdefault(name, padded[i : i + k]) == padded[i : i + k]
+
+
 def test_tokens_match_rank_merging(spark):
     import public_tokenizers
     import tiktoken
