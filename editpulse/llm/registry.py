@@ -14,6 +14,7 @@ QUERIES = {
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_decontamination": decontaminate.op9_decontamination,
+    "op9_proximity": decontaminate.op9_proximity,
     "op10_url_filters": url_filter.op10_url_filters,
 }
 

@@ -301,6 +301,37 @@ def test_odd_rows_of_decontamination(spark, odd):
     assert decontaminate.decontaminate(odd.limit(0), items).count() == 0
 
 
+def test_near_passages_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    item = [f"b{i}" for i in range(30)]
+    changed = [w if i % 10 != 4 else "other" for i, w in enumerate(item)]
+    dropped = [w for i, w in enumerate(item) if i % 10 != 4]
+    inserted = [x for i, w in enumerate(item) for x in ([w, "more"] if i % 9 == 4 else [w])]
+    texts = [["x", "y"] * 5 + t + ["z"] * 5 for t in (item, changed, dropped, inserted)] + [dropped, item[::-1], item[:9], item[:8], item[11:20]]
+    short = [["one", "two", "three"], list("abcde"), ["one"]]
+    texts += [["one", "q", "two", "three"], list("abqde"), ["two", "three"], ["a", "b", "c", "q", "q"]]
+    texts += [[f"b{k}" for k in rng.integers(0, 6, 40)] for _ in range(20)]
+    items = [item, *short, *([f"b{k}" for k in rng.integers(0, 6, 12)] for _ in range(4))]
+    held = spark.createDataFrame([(str(i), " ".join(w)) for i, w in enumerate(items)], "item_id string, text string")
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)] + [(-1, None)], "doc_id long, text string")
+    expected = {-1: (0, [])}
+    for i, words in enumerate(texts):
+        hits, found = set(), set()
+        for k, own in enumerate(items):
+            for a in range(max(1, len(own) - 9)):
+                window = own[a : a + 10]
+                for start in range(-len(window) - 2, len(words) + 3):
+                    at = [[p for p in range(max(0, start + o - 2), min(len(words), start + o + 3)) if words[p] == w] for o, w in enumerate(window)]
+                    if sum(map(bool, at)) >= len(window) - (len(window) >= 5):
+                        hits.update(p for x in at for p in x)
+                        found.add(str(k))
+        expected[i] = (len(hits), sorted(found))
+    rows = {r.doc_id: r for r in decontaminate.decontaminate(docs, held).collect()}
+    assert {i: (r._ll_n_near, r._ll_near_items) for i, r in rows.items()} == expected
+    assert [rows[i]._ll_n_hit for i in (1, 2, 3)] == [0, 0, 0] and all("0" in rows[i]._ll_near_items for i in (0, 1, 2, 3, 4))
+    assert all(set(r._ll_items) <= set(r._ll_near_items) for r in rows.values())
+
+
 def test_odd_urls(spark):
     pages = spark.createDataFrame([(1, "http://a.example.ORG/en/12?q"), (1, None), (2, "no scheme"), (3, "x://org"), (4, "x://EXAMPLE.org/es/")], "page_id long, url string")
     rules = spark.createDataFrame(url_filter.RULES, "verdict string, host string, path string")
