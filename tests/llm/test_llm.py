@@ -284,6 +284,21 @@ def test_odd_rows_of_suffix_dedup(odd):
     assert suffixes.without_repeats(odd.limit(0)).count() == 0
 
 
+def test_anchors_of_texts_beyond_the_place_bits(monkeypatch):
+    raw = np.random.default_rng(2).integers(97, 123, 5000).astype(np.uint8)
+    raw[3000:3600] = raw[100:700]
+    bounds = np.array([0, len(raw)])
+    whole = suffixes.Names(bounds, raw)
+    monkeypatch.setattr(suffixes, "_PLACE", np.uint64(127))
+    names = suffixes.Names(bounds, raw)
+    starts = np.arange(len(raw) - suffixes.LENGTH + 1)
+    anchors = names._anchors(len(raw))
+    assert len(anchors) == len(starts) and ((anchors >= starts) & (anchors < starts + suffixes.SPAN)).all()
+    hashes = names.of(np.arange(len(raw) - suffixes.CORE + 1), suffixes.CORE) >> np.uint64(7)
+    assert [int(np.argmin(hashes[i : i + suffixes.SPAN])) + i for i in starts] == anchors.tolist()
+    assert np.array_equal(whole._anchors(len(raw)), anchors)
+
+
 def test_odd_rows_of_fingerprints(odd):
     docs = odd.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
     rows = syncmers.with_next(docs, ["text"], size=2).orderBy(F.desc_nulls_last("doc_id"), F.desc("hash")).collect()
