@@ -70,8 +70,6 @@ class PieceEncoder:
         self.shown, self.known = byte_characters(), {}
 
     def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
         spelled = ["".join(map(self.shown.__getitem__, piece.encode())) for piece in pieces]
         for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(spelled, add_special_tokens=False), strict=True):
             self.known[piece] = np.array(found.ids, dtype="<u4").tobytes()
@@ -82,9 +80,9 @@ class PieceEncoder:
             return b"".join(map(self.known.__getitem__, pieces))
         except KeyError:
             found = set(pieces)
+            if len(self.known) > KEPT_PIECES:  # only here, so that none of this text's pieces goes
+                self.known.clear()
             self._learn([piece for piece in found if piece not in self.known])
-            if not found <= self.known.keys():  # the dictionary started anew
-                self._learn([piece for piece in found if piece not in self.known])
             return b"".join(map(self.known.__getitem__, pieces))
 
 

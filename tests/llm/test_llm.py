@@ -150,6 +150,16 @@ def test_tokens_match_rank_merging(spark):
         assert rows[doc_id].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_long_texts_with_old_and_new_pieces(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 3)
+    encoder = bpe.PieceEncoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = ["one two three four five", "one six seven eight nine ten two", "six one"]
+    fresh = [bpe.PieceEncoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).encode(t) for t in texts]
+    assert [encoder.encode(t) for t in texts] == fresh
+
+
 def test_token_offsets_share_split_characters(spark):
     import public_tokenizers
 
