@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from editpulse.llm import bpe, chat, decontaminate, line_dedup, minhash, quality, suffixes, syncmers, toxicity, url_filter
+from editpulse.llm import (
+    bpe, chat, decontaminate, line_dedup, merkle, minhash, quality, suffixes, syncmers, toxicity, url_filter,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +18,7 @@ QUERIES = {
     "op9_decontamination": decontaminate.op9_decontamination,
     "op9_proximity": decontaminate.op9_proximity,
     "op10_url_filters": url_filter.op10_url_filters,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 
 ORACLE = {
@@ -24,4 +27,5 @@ ORACLE = {
     "op5_chat_formatting": chat.OP5_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
     "op10_url_filters": url_filter.OP10_SQL,
+    "op12_merkle_manifest": merkle.OP12_SQL,
 }
