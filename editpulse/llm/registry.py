@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from editpulse.llm import (
-    bpe, chat, decontaminate, line_dedup, merkle, minhash, quality, suffixes, syncmers, toxicity, url_filter,
+    bpe, chat, decontaminate, line_dedup, merkle, minhash, piece_prefix, quality, suffixes, syncmers, toxicity, url_filter,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_proximity": decontaminate.op9_proximity,
     "op10_url_filters": url_filter.op10_url_filters,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_sentencepiece": piece_prefix.op13_sentencepiece,
 }
 
 ORACLE = {
