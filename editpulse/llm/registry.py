@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from editpulse.llm import (
-    bpe, chat, decontaminate, line_dedup, merkle, minhash, piece_prefix, quality, suffixes, syncmers, toxicity, url_filter,
+    align, bpe, chat, decontaminate, line_dedup, merkle, minhash, piece_prefix, quality, suffixes, syncmers, toxicity, url_filter,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_decontamination": decontaminate.op9_decontamination,
     "op9_proximity": decontaminate.op9_proximity,
     "op10_url_filters": url_filter.op10_url_filters,
+    "op11_alignment": align.op11_alignment,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
     "op13_sentencepiece": piece_prefix.op13_sentencepiece,
 }
