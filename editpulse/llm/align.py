@@ -11,8 +11,9 @@ no hot key) and takes each A id's highest count. Counts come back to the documen
 together see every row: pairs that are in many documents, at most ``HOT_PAIRS`` by construction, are broadcast;
 all others are in so few documents that the join on the pair has no hot key.
 
-Texts of more than ``SLICE`` characters are cut where a single space stands between other characters:
-there both tokenizers always start a token, so cutting changes no token and no group.
+Where a single space stands between other characters both tokenizers always start a token, so texts are
+cut there and the groups of a text are those of its cuts, one after the other. The groups of a cut are worked out
+once as long as a worker keeps it, and texts of more than ``SLICE`` characters pass slice by slice.
 
 Defined cases: null and empty texts, and texts whose tokens do not spell the space and the text (a
 literal U+2581, say), have no tokens and zeros; special-token strings are ordinary text; rows count as
@@ -22,10 +23,12 @@ not matter.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +41,21 @@ from editpulse.sources.working import working_table
 
 # Most pairs that are broadcast with their counts, about 3 MB.
 HOT_PAIRS = 1 << 17
-# Characters of a text, and of a batch of texts, handled at a time.
-SLICE, BATCH = 1 << 15, 1 << 18
+# Characters of a text, and of a batch of texts or cuts, handled at a time.
+SLICE, BATCH = 1 << 17, 1 << 18
+# Cuts whose groups a worker keeps at once.
+KEPT_CUTS = 200_000
+# The pre-tokenizer and its pattern, by which ids and ranks agree on ASCII texts.
+PRE_TOKENIZER = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# ASCII texts that border on a space with other characters on both sides when joined by one.
+_JOINED = re.compile(r"[!-~](?:[ -~\n\t\r]*[!-~])?")
 # Where both tokenizers start a token: at a single space between other characters.
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
 
 SCHEMA = (
     "valid boolean, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, ends array<int>, "
-    "pairs array<bigint>, links array<int>"
+    "pairs array<bigint>, links array<bigint>"
 )
 
 
@@ -56,6 +66,10 @@ def _spelled(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), dtype=np.uint8), bounds
 
 
+def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(list(chain.from_iterable(found)), dtype=np.int64), np.array([len(x) for x in found], dtype=np.int64)
+
+
 class ByteTokens:
     """Tokenizer A: ids of texts, and each id's bytes."""
 
@@ -71,10 +85,33 @@ class ByteTokens:
         for token, i in vocab.items():
             tokens[i] = bytes(byte_of[c] for c in token)
         self.joined, self.bounds = _spelled(tokens)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.library.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
-        return [f.ids for f in found]
+        self.ranked = self._by_rank(path, tokens)
+
+    def _by_rank(self, path: str, tokens: list[bytes]):
+        """The same tokenizer as ranks, if ids are in the order of merges; quicker on many short texts."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
+        made = [self.library.token_to_id(left + right) for left, right in merges]
+        plain = model["normalizer"] is None and model["pre_tokenizer"] == PRE_TOKENIZER
+        if not plain or made != sorted(made) or sorted(made + list(range(256))) != list(range(len(tokens))):
+            return None
+        return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, a space in front of each, and how many each has.
+
+        ASCII texts without a space at their ends are joined: the space between them always starts a token.
+        """
+        if not self.ranked or not all(_JOINED.fullmatch(t) for t in texts):
+            found = self.library.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
+            return _flat([f.ids for f in found])
+        ids = np.array(self.ranked.encode_ordinary(" " + " ".join(texts)), dtype=np.int64)
+        ends = np.cumsum(self.bounds[ids + 1] - self.bounds[ids])
+        places = np.cumsum([len(t) + 1 for t in texts])
+        return ids, np.bincount(np.searchsorted(places, ends), minlength=len(texts))
 
 
 class PieceTokens:
@@ -91,13 +128,8 @@ class PieceTokens:
             ]
         )
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
-
-
-@lru_cache(maxsize=2)
-def tokens_of(kind: type, path: str) -> ByteTokens | PieceTokens:
-    return kind(path)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat(self.library.encode(texts, num_threads=1))
 
 
 def slices_of(text: str) -> list[str]:
@@ -112,21 +144,19 @@ def slices_of(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-def _laid_out(found: list[list[int]], tokens, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of all texts, their start and end on the line of bytes, and each text's first token.
+def _laid_out(ids: np.ndarray, counts: np.ndarray, tokens, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of all tokens on the line of bytes, and each text's first token.
 
     ``sizes`` are the texts' numbers of bytes; a text's tokens begin at its own place whatever
     the tokens before it spell.
     """
-    first = np.zeros(len(found) + 1, dtype=np.int64)
-    np.cumsum([len(x) for x in found], out=first[1:])
-    ids = np.fromiter((i for x in found for i in x), dtype=np.int64, count=int(first[-1]))
+    first = np.concatenate([[0], np.cumsum(counts)])
     length = tokens.bounds[ids + 1] - tokens.bounds[ids]
     ends = np.cumsum(length)
     places = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     before = np.concatenate([[0], ends])[first[:-1]]
-    ends = ends + np.repeat(places - before, np.diff(first))
-    return ids, ends - length, ends, first
+    ends = ends + np.repeat(places - before, counts)
+    return ends - length, ends, first
 
 
 def _spells(ids: np.ndarray, first: np.ndarray, tokens, sizes: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -156,7 +186,7 @@ def tokens_bytes(ids: np.ndarray, tokens) -> np.ndarray:
 
 
 class Groups:
-    """Groups of a batch of texts: which texts are valid, and their tokens ordered by group."""
+    """Groups of a batch of short texts: which are valid, and their tokens ordered by group."""
 
     def __init__(self, texts: list[str], a: ByteTokens, b: PieceTokens):
         coded = [f" {t}".encode() for t in texts]
@@ -165,7 +195,8 @@ class Groups:
         laid = []
         valid = np.ones(len(texts), dtype=bool)
         for tokens in (a, b):
-            ids, starts, ends, first = _laid_out(tokens.encode(texts), tokens, sizes)
+            ids, counts = tokens.encode(texts)
+            starts, ends, first = _laid_out(ids, counts, tokens, sizes)
             valid &= _spells(ids, first, tokens, sizes, raw)
             laid.append((ids, starts, ends, np.repeat(np.arange(len(texts)), np.diff(first))))
         self.valid = valid
@@ -230,6 +261,80 @@ def summed(major: np.ndarray, minor: np.ndarray, values: np.ndarray) -> tuple[np
     return major[at], minor[at], np.add.reduceat(values, at)
 
 
+def ranges(first: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """The numbers ``first, first + 1, ...`` of each range, one after the other."""
+    return np.repeat(first - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+
+
+class Cuts:
+    """The alignment of every cut a worker keeps, as columns by number of the cut."""
+
+    def __init__(self, a: ByteTokens, b: PieceTokens):
+        self.a, self.b = a, b
+        n = max(len(a.bounds), len(b.bounds))
+        self.names = [[f"{mark}{i}" for i in range(n)] for mark in ",|;"]
+        self.hits = np.zeros(0, dtype=np.int64)
+        self.number: dict[str, int] = {}
+        self.texts: list[str] = []
+        # bytes, invalid, tokens of A and of B, groups, links; then bounds and values of ends and pairs
+        self.counts = np.zeros((0, 6), dtype=np.int64)
+        self.group_at, self.pair_at = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.ends, self.pairs, self.links = (np.zeros(0, dtype=kind) for kind in (np.int32, np.int64, np.int64))
+
+    def numbers(self, parts: list[list[str]]) -> np.ndarray:
+        """Numbers of all cuts, of which new ones are aligned first."""
+        new = set().union(*parts).difference(self.number)
+        if self.number and len(self.number) + len(new) > KEPT_CUTS:  # before any of these gets a number
+            self._keep_frequent()
+            new = set().union(*parts).difference(self.number)
+        plain = list(filter(_JOINED.fullmatch, new))
+        for kind in (plain, list(new.difference(plain))):
+            waiting, size = [], 0
+            for cut in kind:
+                waiting.append(cut)
+                size += len(cut) + 1
+                if size >= BATCH:
+                    self._learn(waiting)
+                    waiting, size = [], 0
+            if waiting:
+                self._learn(waiting)
+        found = np.array(list(map(self.number.__getitem__, chain.from_iterable(parts))), dtype=np.int64)
+        self.hits = np.bincount(found, minlength=len(self.texts)) + np.pad(self.hits, (0, len(self.texts) - len(self.hits)))
+        return found
+
+    def _keep_frequent(self) -> None:
+        """Drop cuts met once, and the rarest beyond half of what may be kept."""
+        kept = np.argsort(-self.hits, kind="stable")[: KEPT_CUTS // 2]
+        kept = np.sort(kept[self.hits[kept] > 1])
+        cuts, texts = list(self.number), self.texts
+        self.number = {cuts[old]: new for new, old in enumerate(kept.tolist())}
+        self.texts = [texts[old] for old in kept.tolist()]
+        self.counts, self.hits = self.counts[kept], self.hits[kept] // 2
+        for at, names in (("group_at", ("ends",)), ("pair_at", ("pairs", "links"))):
+            first = getattr(self, at)[kept]
+            width = getattr(self, at)[kept + 1] - first
+            for name in names:
+                setattr(self, name, getattr(self, name)[ranges(first, width)])
+            setattr(self, at, np.concatenate([[0], np.cumsum(width)]))
+
+    def _learn(self, cuts: list[str]) -> None:
+        groups, n = Groups(cuts, self.a, self.b), len(cuts)
+        self.number.update(zip(cuts, range(len(self.texts), len(self.texts) + n), strict=True))
+        self.texts += groups.written(self.names)
+        at = np.searchsorted(groups.group_row, np.arange(n + 1))
+        per_group = (*groups.counts, np.ones(len(groups.group_row), dtype=np.int64), groups.counts[0] * groups.counts[1])
+        columns = [np.diff(np.concatenate([[0], np.cumsum(c)])[at]) for c in per_group]
+        own = np.stack([groups.sizes, ~groups.valid, *columns], axis=1)
+        self.counts = np.concatenate([self.counts, own])
+        rows, pairs, links = groups.pairs()
+        pair_at = np.searchsorted(rows, np.arange(n + 1))
+        self.group_at = np.concatenate([self.group_at, at[1:] + self.group_at[-1]])
+        self.pair_at = np.concatenate([self.pair_at, pair_at[1:] + self.pair_at[-1]])
+        for name, values in (("ends", groups.group_end), ("pairs", pairs), ("links", links)):
+            kept = getattr(self, name)
+            setattr(self, name, np.concatenate([kept, values.astype(kept.dtype)]))
+
+
 class _Document:
     """What the slices of one text add up to."""
 
@@ -240,34 +345,49 @@ class _Document:
     def values(self) -> tuple:
         if not self.valid:
             return False, 0, 0, 0, 0, "", [], [], []
-        pairs = np.concatenate(self.pairs)
-        _, pairs, links = summed(np.zeros(len(pairs), dtype=np.int64), pairs, np.concatenate(self.links))
+        pairs, links = np.concatenate(self.pairs), np.concatenate(self.links)
+        if len(self.pairs) > 1:
+            _, pairs, links = summed(np.zeros(len(pairs), dtype=np.int64), pairs, links)
         return True, *self.counts.tolist(), ";".join(self.texts), np.concatenate(self.ends), pairs, links
 
 
-def _add(groups: Groups, documents: list[_Document], names: list[list[str]]) -> None:
+def _add(slices: list[str], documents: list[_Document], cuts: Cuts) -> None:
     """Add the groups of a batch of slices to their documents, in order."""
-    k = np.arange(len(documents) + 1)
-    group_at = np.searchsorted(groups.group_row, k)
-    counted = [np.concatenate([[0], np.cumsum(c)]) for c in (*groups.counts, groups.counts[0] * groups.counts[1])]
-    rows, pairs, links = groups.pairs()
-    pair_at, texts = np.searchsorted(rows, k), groups.written(names)
+    parts = [_BORDER.split(text) for text in slices]
+    numbers = cuts.numbers(parts)
+    bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    row = np.repeat(np.arange(len(parts)), np.diff(bounds))
+    totals = np.concatenate([np.zeros((1, 6), dtype=np.int64), np.cumsum(cuts.counts[numbers], axis=0, dtype=np.int64)])
+    sums = np.diff(totals[bounds], axis=0)
+
+    first = cuts.group_at[numbers]
+    width = cuts.group_at[numbers + 1] - first
+    ends = cuts.ends[ranges(first, width)] + np.repeat(totals[:-1, 0] - np.repeat(totals[bounds[:-1], 0], np.diff(bounds)), width)
+    end_at = np.concatenate([[0], np.cumsum(width)])[bounds]
+
+    keys, times = np.unique(row * len(cuts.texts) + numbers, return_counts=True)
+    row, number = np.divmod(keys, len(cuts.texts))
+    first = cuts.pair_at[number]
+    width = cuts.pair_at[number + 1] - first
+    at = ranges(first, width)
+    row, pairs, links = summed(np.repeat(row, width), cuts.pairs[at], cuts.links[at] * np.repeat(times, width))
+    pair_at = np.searchsorted(row, np.arange(len(parts) + 1))
+
+    numbers = numbers.tolist()
     for i, document in enumerate(documents):
-        document.valid &= bool(groups.valid[i])
+        document.valid &= bool(sums[i, 1] == 0)
         if document.valid:
-            lo, hi = group_at[i], group_at[i + 1]
-            n_a, n_b, n_links = (int(c[hi] - c[lo]) for c in counted)
-            document.counts += (n_a, n_b, hi - lo, n_links)
-            document.texts.append(texts[i])
-            document.ends.append((groups.group_end[lo:hi] + document.bytes).astype(np.int32))
+            document.counts += sums[i, 2:]
+            document.texts.append(";".join(map(cuts.texts.__getitem__, numbers[bounds[i] : bounds[i + 1]])))
+            document.ends.append((ends[end_at[i] : end_at[i + 1]] + document.bytes).astype(np.int32))
             document.pairs.append(pairs[pair_at[i] : pair_at[i + 1]])
             document.links.append(links[pair_at[i] : pair_at[i + 1]])
         else:
             document.texts, document.ends, document.pairs, document.links = [], [], [], []
-        document.bytes += int(groups.sizes[i])
+        document.bytes += int(sums[i, 0])
 
 
-def aligned(texts: list[str | None], a: ByteTokens, b: PieceTokens, names: list[list[str]]) -> list[_Document]:
+def aligned(texts: list[str | None], cuts: Cuts) -> list[_Document]:
     """Alignment of each text, worked out in batches of slices."""
     documents = [_Document(not text) for text in texts]
     waiting, owners, size = [], [], 0
@@ -277,13 +397,19 @@ def aligned(texts: list[str | None], a: ByteTokens, b: PieceTokens, names: list[
             owners.append(document)
             size += len(piece)
             if size >= BATCH:
-                _add(Groups(waiting, a, b), owners, names)
+                _add(waiting, owners, cuts)
                 waiting, owners, size = [], [], 0
     if waiting:
-        _add(Groups(waiting, a, b), owners, names)
+        _add(waiting, owners, cuts)
     return documents
 
 
+@lru_cache(maxsize=2)
+def cuts_of(a_path: str, b_path: str) -> Cuts:
+    """One store of cuts a worker, which outlives a task."""
+    return Cuts(ByteTokens(a_path), PieceTokens(b_path))
+
+
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its groups, their last bytes' offsets (after the added space), its id pairs and links.
 
@@ -291,17 +417,15 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = tokens_of(ByteTokens, a_path), tokens_of(PieceTokens, b_path)
-        n = max(len(a.bounds), len(b.bounds))
-        names = [[f"{mark}{i}" for i in range(n)] for mark in ",|;"]
+        cuts = cuts_of(a_path, b_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                values = [d.values() for d in aligned(part.column(1).to_pylist(), a, b, names)]
+                values = [d.values() for d in aligned(part.column(1).to_pylist(), cuts)]
                 columns = [pa.array([v[k] for v in values], kind) for k, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", *fields])
 
-    kinds = [pa.bool_(), *[pa.int64()] * 4, pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    kinds = [pa.bool_(), *[pa.int64()] * 4, pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
     fields = [f.split()[0] for f in SCHEMA.split(", ")]
     source = id_and_text(docs, id_col, text_col)
     return source.mapInArrow(run, f"doc_id {source.schema[0].dataType.simpleString()}, {SCHEMA}")

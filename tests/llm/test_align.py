@@ -107,21 +107,22 @@ def test_odd_rows(spark, monkeypatch, hot):
     check(spark, monkeypatch, docs, ids, texts)
 
 
-def test_long_texts_are_cut_without_a_trace(spark, monkeypatch):
-    monkeypatch.setattr(A, "SLICE", 50)
-    monkeypatch.setattr(A, "BATCH", 120)
-    texts = ["word,  two\n three 中文 é 12 don't " * 30, "a▁b " * 40, "x y " * 100 + "z" * 300, "tail   "]
-    a, b = A.ByteTokens(PATHS[0]), A.PieceTokens(PATHS[1])
-    names = [[f"{mark}{i}" for i in range(60_000)] for mark in ",|;"]
-    cut = [d.values() for d in A.aligned(texts, a, b, names)]
-    assert max(len(A.slices_of(t)) for t in texts) > 5
+@pytest.mark.parametrize(("slice_", "batch", "kept"), [(50, 120, 200_000), (1 << 17, 1 << 18, 200_000), (40, 60, 2)])
+def test_long_texts_are_cut_without_a_trace(monkeypatch, slice_, batch, kept):
+    for name, value in (("SLICE", slice_), ("BATCH", batch), ("KEPT_CUTS", kept)):
+        monkeypatch.setattr(A, name, value)
+    texts = ["word,  two\n three 中文 é 12 don't " * 30, "a▁b " * 40, "x y " * 100 + "z" * 300, "tail   ", "\x1c a b\x85 c"]
+    cuts = A.Cuts(A.ByteTokens(PATHS[0]), A.PieceTokens(PATHS[1]))
+    found = [d.values() for d in A.aligned(texts, cuts)]
     plain = Plain()
-    for text, values in zip(texts, cut, strict=True):
+    for text, values in zip(texts, found, strict=True):
         groups = plain.groups(text)
         assert values[0] == (groups is not None)
         if groups:
             assert values[5] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for (x, y), _ in groups)
             assert list(values[6]) == [end for _, end in groups]
+            links = Counter((x << 32) | y for (xs, ys), _ in groups for x in xs for y in ys)
+            assert dict(zip(values[7].tolist(), values[8].tolist(), strict=True)) == links
 
 
 def test_empty_table(spark):
