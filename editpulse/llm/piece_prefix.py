@@ -23,7 +23,8 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,19 +34,59 @@ from pyspark.sql import DataFrame, SparkSession
 from editpulse.llm.columns import id_and_text, table
 
 MARK = "▁"
-# Cuts whose ids a worker keeps at once, and characters or ids handled at a time.
+# Cuts whose ids a worker keeps at once, and characters, cuts or ids handled at a time.
 KEPT_CUTS = 400_000
+# Pairs of adjacent tokens whose fit a worker keeps at once.
+KEPT_PAIRS = 500_000
 SLICE = 1 << 16
-_CUTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _BORDER = re.compile(f"[^{MARK}](?={MARK})")
 _NONE = -1
 
 
+class Automaton:
+    """All pieces that end at a character, longest first, while a string is read.
+
+    Steps that follow shorter suffixes are kept once taken, so reading is one lookup a character.
+    """
+
+    def __init__(self, tokens: dict[str, int]):
+        self.steps: list[dict[str, int]] = [{}]
+        ending: dict[int, tuple[int, int]] = {}
+        for piece, token in tokens.items():
+            state = 0
+            for char in piece:
+                if char not in self.steps[state]:
+                    self.steps[state][char] = len(self.steps)
+                    self.steps.append({})
+                state = self.steps[state][char]
+            ending[state] = token, len(piece)
+        self.shorter = [0] * len(self.steps)
+        self.matches: list[tuple[tuple[int, int], ...]] = [()] * len(self.steps)
+        reached = deque(self.steps[0].values())
+        for state in self.steps[0].values():
+            self.matches[state] = (ending[state],) if state in ending else ()
+        edges = [list(step.items()) for step in self.steps]
+        while reached:
+            state = reached.popleft()
+            for char, child in edges[state]:
+                self.shorter[child] = short = self.step(self.shorter[state], char)
+                self.matches[child] = ((ending[child],) if child in ending else ()) + self.matches[short]
+                reached.append(child)
+
+    def step(self, state: int, char: str) -> int:
+        found = self.steps[state].get(char)
+        if found is None:
+            at = state
+            while at and char not in self.steps[at]:
+                at = self.shorter[at]
+            found = self.steps[state][char] = self.steps[at].get(char, 0)
+        return found
+
+
 class PieceModel:
     """Pieces, their ranks and merges of one model file."""
 
     def __init__(self, path: str):
-        import ahocorasick
         import sentencepiece
 
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -62,21 +103,20 @@ class PieceModel:
         rank = {text[i]: r for r, i in enumerate(order)}
         self.parts: list[tuple[int, int] | None] = []
         self.merges: dict[tuple[int, int], int] = {}
-        self.fits = lru_cache(maxsize=1 << 18)(self._fits)
-        self.found = ahocorasick.Automaton()
+        self.fitting: dict[int, bool] = {}
         for token, piece_id in enumerate(order):
             piece, parts = text[piece_id], None
             for cut in range(1, len(piece)):
                 left, right = rank.get(piece[:cut], token), rank.get(piece[cut:], token)
-                if max(left, right) < token and self._fits(left, right):
+                if left < token and right < token and self._fits(left, right):
                     parts = (left, right)
                     break
             self.parts.append(parts)
             if parts:
                 self.merges[parts] = token
-            if parts or len(piece) == 1:  # others are never reached by merging
-                self.found.add_word(piece, token)
-        self.found.make_automaton()
+        # others are never reached by merging
+        self.automaton = Automaton({p: t for p, t in rank.items() if self.parts[t] or len(p) == 1})
+        self.cuts = re.compile(self._cut_pattern(set(rank)))
         self.plain = next(i for i in order if len(text[i]) == 1 and text[i] != MARK)
 
     def _check(self, text: dict[int, str], score: dict[int, float], runs: set[int]) -> None:
@@ -91,6 +131,17 @@ class PieceModel:
         if not {c for p in pieces for c in p} <= pieces or any(not self.library.is_byte(i) for i in self.bytes):
             raise ValueError("characters of pieces and all bytes must be pieces")
 
+    def _cut_pattern(self, pieces: set[str]) -> str:
+        """Where texts are cut: before space marks, and between letters and other signs if no piece holds both.
+
+        Characters without a piece join nothing, so it does not matter which kind they count as.
+        """
+        letters = {p for p in pieces if len(p) == 1 and p.isalpha()}
+        if any(len({c in letters for c in p.lstrip(MARK)}) > 1 for p in pieces):
+            return f"{MARK}*[^{MARK}]+|{MARK}+"
+        listed = "".join(map(re.escape, sorted(letters)))
+        return f"{MARK}*[{listed}]+|{MARK}*[^{listed}{MARK}]+|{MARK}+"
+
     def _fits(self, left: int, right: int) -> bool:
         """No merge across the border of two tokens comes before the merges that made them.
 
@@ -98,12 +149,13 @@ class PieceModel:
         merges that end them would have been made instead. At equal ranks the left one is first.
         """
         left_ends = right_ends = len(self.ids)
+        merges, parts = self.merges, self.parts
         while True:
-            across = self.merges.get((left, right))
+            across = merges.get((left, right))
             if across is not None and across < left_ends and across <= right_ends:
                 return False
             # undo the later of the two merges; a character was never merged
-            made_left, made_right = self._parts(left), self._parts(right)
+            made_left, made_right = parts[left], parts[right]
             if made_left and (left > right or not made_right):
                 left, left_ends = made_left[1], left
             elif made_right:
@@ -111,21 +163,47 @@ class PieceModel:
             else:
                 return True
 
-    def _parts(self, token: int) -> tuple[int, int] | None:
-        return self.parts[token] if token < len(self.parts) else None
-
-    def last_tokens(self, cut: str) -> array:
-        """The last token of every prefix of ``cut``, -1 where it is a character without a piece."""
-        last = array("i", [_NONE]) * (len(cut) + 1)
-        for end, token in self.found.iter(cut):
-            if last[end + 1] == _NONE:
-                start = end + 1 - self.sizes[token]
-                if start == 0 or last[start] == _NONE or self.fits(last[start], token):
-                    last[end + 1] = token
-        return last
-
-    def encode_cut(self, cut: str) -> list[int]:
-        last, at, backwards = self.last_tokens(cut), len(cut), []
+    def fits(self, left: int, right: int) -> bool:
+        """`_fits`, remembered for as many pairs as are kept."""
+        if len(self.fitting) > KEPT_PAIRS:
+            self.fitting.clear()
+        known = self.fitting[left * len(self.ids) + right] = self._fits(left, right)
+        return known
+
+    def ids_of(self, cuts: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        """Each cut with its ids. Cuts in sorted order share the table of the prefix they have in common."""
+        last, states = array("i", [_NONE]), array("i", [0])
+        steps, matches, fitting, n = self.automaton.steps, self.automaton.matches, self.fitting, len(self.ids)
+        before_cut = ""
+        for cut in cuts:
+            shared = 0
+            for one, other in zip(before_cut, cut):
+                if one != other:
+                    break
+                shared += 1
+            before_cut = cut
+            del last[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
+            for end in range(shared + 1, len(cut) + 1):
+                char = cut[end - 1]
+                step = steps[state].get(char)
+                state = self.automaton.step(state, char) if step is None else step
+                states.append(state)
+                for token, size in matches[state]:
+                    before = last[end - size]
+                    if before != _NONE:
+                        known = fitting.get(before * n + token)
+                        if not (self.fits(before, token) if known is None else known):
+                            continue
+                    last.append(token)
+                    break
+                else:
+                    last.append(_NONE)
+            yield cut, self._read_back(cut, last)
+
+    def _read_back(self, cut: str, last: array) -> list[int]:
+        """Ids of ``cut`` by the last token of each of its prefixes, -1 where it is a character without a piece."""
+        at, backwards = len(cut), []
         while at > 0:
             token = last[at]
             if token == _NONE:
@@ -135,7 +213,7 @@ class PieceModel:
                 backwards.append(self.ids[token])
                 at -= self.sizes[token]
         backwards.reverse()
-        return self._joined_marks(backwards)
+        return self._joined_marks(backwards) if cut.startswith(MARK * 2) else backwards
 
     def _joined_marks(self, ids: list[int]) -> list[int]:
         """``ids`` with the single space marks at the start of a cut joined.
@@ -158,7 +236,7 @@ def model_of(path: str) -> PieceModel:
 
 
 class PrefixEncoder:
-    """Ids of texts as little-endian 32-bit bytes; equal cuts are encoded once."""
+    """Ids of texts as 32-bit integers' bytes; equal cuts are encoded once."""
 
     def __init__(self, path: str):
         self.model, self.known = model_of(path), {}
@@ -168,23 +246,37 @@ class PrefixEncoder:
         while at < len(normal):
             border = _BORDER.search(normal, at + SLICE)
             end = border.end() if border else len(normal)
-            yield _CUTS.findall(normal, at, end)
+            yield self.model.cuts.findall(normal, at, end)
             at = end
 
-    def encode(self, text: str) -> bytes:
-        out = []
-        for cuts in self._cuts(self.model.library.normalize(text)):
-            try:
-                out.append(b"".join(map(self.known.__getitem__, cuts)))
-            except KeyError:
-                new = set(cuts)
-                if len(self.known) > KEPT_CUTS:  # only here, so that none of this slice's cuts goes
-                    self.known.clear()
-                for cut in new:
-                    if cut not in self.known:
-                        self.known[cut] = np.array(self.model.encode_cut(cut), dtype="<i4").tobytes()
-                out.append(b"".join(map(self.known.__getitem__, cuts)))
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting, size = [], 0
+        for text, ids in zip(texts, out, strict=True):
+            for cuts in self._cuts(self.model.library.normalize(text)):
+                waiting.append((ids, cuts))
+                size += len(cuts)
+                if size >= SLICE:
+                    self._flush(waiting)
+                    waiting, size = [], 0
+        self._flush(waiting)
+        return [b"".join(ids) for ids in out]
+
+    def _flush(self, waiting: list[tuple[list[bytes], list[str]]]) -> None:
+        new = set().union(*(cuts for _, cuts in waiting)).difference(self.known)
+        if self.known and len(self.known) + len(new) > KEPT_CUTS:  # before any of these is encoded
+            self.known.clear()
+            new = set().union(*(cuts for _, cuts in waiting))
+        for cut, ids in self.model.ids_of(sorted(new)):
+            self.known[cut] = array("i", ids).tobytes()
+        for out, cuts in waiting:
+            out.append(b"".join(map(self.known.__getitem__, cuts)))
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> PrefixEncoder:
+    """One encoder a worker, whose dictionary outlives a task."""
+    return PrefixEncoder(path)
 
 
 def decoded_slices(model: PieceModel, ids: np.ndarray) -> Iterator[str]:
@@ -208,12 +300,12 @@ def encode(docs: DataFrame, path: str, end_id: bool = True, id_col: str = "doc_i
     """``doc_id, ids``: ids of each whole text, with the model's end id last if ``end_id``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PrefixEncoder(path)
+        encoder = encoder_of(path)
         tail = np.array([encoder.model.library.eos_id()][: int(end_id)], dtype="<i4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [encoder.encode(text.as_py() or "") + tail for text in part.column(1)]
+                found = [ids + tail for ids in encoder.encode([text or "" for text in part.column(1).to_pylist()])]
                 bounds = np.zeros(len(found) + 1, dtype=np.int32)
                 np.cumsum([len(ids) // 4 for ids in found], out=bounds[1:])
                 values = pa.array(np.frombuffer(b"".join(found), dtype="<i4"))

@@ -49,14 +49,15 @@ def test_random_texts(library):
             text = "".join(rng.choices(pieces, k=rng.randint(1, 12)))
         else:
             text = "".join(rng.choices(letters, k=rng.randint(1, 60)))
-        assert [int(x) for x in memoryview(encoder.encode(text)).cast("i")] == library.encode(text), text
+        assert [int(x) for x in memoryview(encoder.encode([text])[0]).cast("i")] == library.encode(text), text
 
 
 def test_every_prefix_ends_in_its_last_token(library):
     model, text = P.model_of(PATH), "▁internationalisation-of-straightforwardness"
-    last = model.last_tokens(text)
-    for end in range(1, len(text) + 1):
-        assert model.ids[last[end]] == library.encode(text[1:end])[-1] if end > 1 else True
+    prefixes = [text[:end] for end in range(2, len(text) + 1)]
+    for order in (prefixes, prefixes[::-1]):
+        for prefix, ids in model.ids_of(order):
+            assert ids == library.encode(prefix[1:]), prefix
 
 
 def test_odd_rows_and_round_trip(spark, library):
@@ -82,7 +83,7 @@ def test_empty_table(spark):
 def test_very_long_texts(library, monkeypatch):
     encoder, words = P.PrefixEncoder(PATH), "a straightforward 中文😀 walk  through "
     for text in (words * 20_000, "straightforward" * 20_000, "😀" * 50_000, " " * 200_000 + "x"):
-        ids = memoryview(encoder.encode(text)).cast("i").tolist()
+        ids = memoryview(encoder.encode([text])[0]).cast("i").tolist()
         assert ids == library.encode(text)
         import numpy as np
 
@@ -94,4 +95,4 @@ def test_bounded_dictionary(library, monkeypatch):
     monkeypatch.setattr(P, "SLICE", 8)
     encoder = P.PrefixEncoder(PATH)
     for text in ("one two three four five six seven", "eight one nine ten"):
-        assert memoryview(encoder.encode(text)).cast("i").tolist() == library.encode(text)
+        assert memoryview(encoder.encode([text])[0]).cast("i").tolist() == library.encode(text)
