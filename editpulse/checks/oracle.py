@@ -386,6 +386,9 @@ ORACLE: dict[str, str] = {
     "changeset_rollup_shuffled": _with(
         [CHANGESETS, MEMBERS, NEWEST, KEPT, HISTORY, ROLLUP], "SELECT * FROM ru"
     ),
+    "changeset_rollup_bitmap": _with(
+        [CHANGESETS, MEMBERS, NEWEST, KEPT, HISTORY, ROLLUP], "SELECT * FROM ru"
+    ),
     "conditional_struct_flat": _with(
         ORDERS_ACTIVITY[:-1],
         "SELECT DISTINCT id, "

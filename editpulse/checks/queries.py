@@ -17,6 +17,7 @@ from editpulse.operators import members as M
 from editpulse.operators.features import feature_lines, tile_features
 from editpulse.operators.public import public_rollup
 from editpulse.operators.rollup import metric_structs, rollup_for
+from editpulse.operators.sizing import BROADCAST_BYTES
 from editpulse.operators.spatial import locate, prepared_index
 from editpulse.plans.enrich import enrich_changesets
 from editpulse.schemas import METRICS
@@ -108,6 +109,11 @@ def changeset_rollup_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     return rollup_for(standin.history(spark, sf), kept, kept.count(), broadcast_limit=0)
 
 
+def changeset_rollup_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    kept = _kept(spark, sf).select("id")
+    return rollup_for(standin.history(spark, sf), kept, kept.count(), broadcast_limit=0, bitmap_limit=BROADCAST_BYTES)
+
+
 def changeset_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return _rollup(spark, sf)
 
@@ -355,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "member_semi_join": member_semi_join,
     "changeset_rollup": changeset_rollup,
     "changeset_rollup_shuffled": changeset_rollup_shuffled,
+    "changeset_rollup_bitmap": changeset_rollup_bitmap,
     "conditional_struct_flat": conditional_struct_flat,
     "point_in_polygon_join": point_in_polygon_join,
     "enriched_changesets": enriched_changesets,

@@ -32,19 +32,23 @@ def member_semi_join(
     members: DataFrame,
     since: dt.date = CUTOFF,
     broadcast_limit: int = BROADCAST_BYTES,
+    ds: str | None = None,
 ) -> DataFrame:
     """Changesets since a date made by members of the newest snapshot, plus its ``members_ds``.
 
+    ``ds`` names that snapshot where it is known, as from a listing; older ones are then not read.
+
     A member matches at most once, so this is a semi-join: nothing fans out and the
     changesets stay where they are when the member ids are small enough to broadcast.
     The date is compared in the column's own type so that the scan can use it.
     """
-    uids = latest_partition(members).select("uid")
+    newest = latest_partition(members) if ds is None else members.where(F.col("ds") == ds)
+    uids = newest.select("uid")
     start = F.lit(since).cast(changesets.schema["created_at"].dataType)
     kept = changesets.where(F.col("created_at") >= start).join(
         broadcast_if_small(uids, broadcast_limit), "uid", "left_semi"
     )
-    return kept.withColumn("members_ds", members.select(F.max("ds")).scalar())
+    return kept.withColumn("members_ds", members.select(F.max("ds")).scalar() if ds is None else F.lit(ds))
 
 
 def changeset_columns(kept: DataFrame) -> DataFrame:

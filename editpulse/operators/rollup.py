@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from editpulse.functions.metrics import int_struct, struct_if_any
 from editpulse.functions.tags import has_tag
 from editpulse.operators.sizing import BROADCAST_BYTES
+from editpulse.sources.working import working_table
 
 # Theme -> tag key, and group -> element type.
 THEME_TAG = {"buildings": "building", "highways": "highway", "amenities": "amenity"}
@@ -55,20 +56,57 @@ def changeset_rollup(history: DataFrame) -> DataFrame:
     )
 
 
+# Ids one row of a bitmap stands for, and the size of such a row.
+BITMAP_IDS, BITMAP_BYTES = 32_768, 4_200
+
+
+def id_bitmap(ids: DataFrame, column: str = "id") -> DataFrame:
+    """``bucket, words``: one bit per id, 512 longs for every 32,768 consecutive ids that occur.
+
+    Its size follows the range of the ids, not their number.
+    """
+    held = ids.groupBy(F.bitmap_bucket_number(column).alias("bucket")).agg(
+        F.hex(F.bitmap_construct_agg(F.bitmap_bit_position(column))).alias("bits")
+    )
+    words = F.expr(f"transform(sequence(0, {BITMAP_IDS // 64 - 1}), i -> cast(conv(substr(bits, 16 * i + 1, 16), 16, -10) AS bigint))")
+    return held.select("bucket", words.alias("words"))
+
+
+def in_bitmap(rows: DataFrame, bitmap: DataFrame, column: str) -> DataFrame:
+    """Rows whose id has its bit set; ``bitmap`` is small enough to broadcast."""
+    at = F.bitmap_bit_position(column).cast("int")
+    # a word's eight bytes stand in order of position, the first one highest
+    bit = (7 - F.shiftright(at, 3).bitwiseAND(7)) * 8 + at.bitwiseAND(7)
+    isset = F.getbit(F.get(F.col("words"), F.shiftright(at, 6)), bit) == 1
+    same = F.bitmap_bucket_number(column) == F.col("bucket")
+    return rows.join(F.broadcast(bitmap), same & isset, "left_semi")
+
+
 def rollup_for(
-    history: DataFrame, kept: DataFrame, kept_rows: int, broadcast_limit: int = BROADCAST_BYTES
+    history: DataFrame,
+    kept: DataFrame,
+    kept_rows: int,
+    broadcast_limit: int = BROADCAST_BYTES,
+    bitmap_limit: int | None = None,
 ) -> DataFrame:
     """Rollup of the history that belongs to the ``kept`` changeset ids.
 
     Few ids: they are broadcast and history is filtered in the scan stage, before
-    anything is shuffled. Many ids: history is aggregated first (partial counts are
-    what is shuffled, so no changeset can be hot), and the aggregate, which is already
-    exchanged on the changeset id, is semi-joined with them. Both ways give the same rows.
+    anything is shuffled. More ids: a bitmap of them is written, and if it is small enough
+    (a billion consecutive ids fit the limit), it is broadcast and filters as exactly. Beyond that history
+    is aggregated first, so what is shuffled are partial counts and no changeset can be hot, and the
+    counts, already exchanged on the changeset id, are joined with the ids. (A semi-join
+    there would be pushed below the aggregate.) All ways give the same rows.
     """
     ids = kept.select(F.col("id").alias("changeset"))
     if kept_rows * 32 <= broadcast_limit:
         return changeset_rollup(history.join(F.broadcast(ids), "changeset", "left_semi"))
-    return changeset_rollup(history).join(ids.hint("merge"), "changeset", "left_semi")
+    limit = broadcast_limit if bitmap_limit is None else bitmap_limit
+    if limit:
+        bitmap = working_table(id_bitmap(ids, "changeset"), "bitmap")
+        if bitmap.count() * BITMAP_BYTES <= limit:
+            return changeset_rollup(in_bitmap(history, bitmap, "changeset"))
+    return changeset_rollup(history).join(ids.distinct().hint("merge"), "changeset")
 
 
 def _group(name: str) -> dict[str, Column]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from editpulse.functions.wkb import explode_edges
 from editpulse.operators.sizing import BROADCAST_BYTES, measured_bytes
-from editpulse.session import checkpoint_dir
+from editpulse.sources.working import working_table
 
 CELL_DEGREES = 0.5
 # Where in a cell its reference point sits; off the centre because outlines with
@@ -108,9 +108,8 @@ def boundary_index(shapes: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
 def prepared_index(
     boundaries: DataFrame, cell: float = CELL_DEGREES, broadcast_limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """The index, checkpointed once and hinted for broadcast if its size allows."""
-    checkpoint_dir(boundaries.sparkSession)
-    index = boundary_index(identified_shapes(boundaries), cell).checkpoint()
+    """The index, written once and hinted for broadcast if its size allows."""
+    index = working_table(boundary_index(identified_shapes(boundaries), cell), "index")
     return F.broadcast(index) if measured_bytes(index) <= broadcast_limit else index
 
 

@@ -15,7 +15,7 @@ from editpulse.operators import members as M
 from editpulse.operators.changesets import member_semi_join
 from editpulse.operators.documents import chapters_document, monthly_document
 from editpulse.operators.features import tile_features
-from editpulse.operators.rollup import rollup_for
+from editpulse.operators.rollup import id_bitmap, in_bitmap, rollup_for
 from editpulse.operators.sizing import broadcast_if_small, measured_bytes
 from editpulse.sources import standin
 from editpulse.sources.working import working_table
@@ -62,7 +62,7 @@ def test_measured_bytes_follow_the_data(spark):
 def test_history_restriction_agrees_on_both_paths(spark):
     kept = fixtures.changesets(spark).where("id < 9").select("id")
     few = rollup_for(fixtures.history(spark), kept, 8)
-    many = rollup_for(fixtures.history(spark), kept, 1 << 40)
+    many = rollup_for(fixtures.history(spark), kept, 1 << 40, bitmap_limit=0)
     assert same(few, many)
     assert "BroadcastExchange" not in many._jdf.queryExecution().executedPlan().toString()
 
@@ -117,11 +117,31 @@ def test_hot_changeset_combines_before_the_shuffle(spark):
         "if(id % 3 > 0, 7, id) AS changeset", "'node' AS type", "map('building', 'y') AS tags",
         "1L AS version", "true AS visible",
     )
-    rollup = rollup_for(rows, None, 1 << 40)
+    kept = spark.range(30_000).where("id % 2 = 1")
+    rollup = rollup_for(rows, kept, 1 << 40, bitmap_limit=0)
     assert rollup.where("changeset = 7").first()["new_buildings"] == 20_000
     plan = rollup._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("partial_count") > plan.index("Exchange hashpartitioning(changeset")
-    assert plan.count("Exchange hashpartitioning") == 1
+    counted = plan[plan.index("partial_count"):]
+    assert "Exchange hashpartitioning(changeset" not in counted[: counted.index("Range")]
+    assert plan.count("Exchange hashpartitioning(changeset") == 2  # partial counts, and the kept ids
+
+
+def test_bitmap_of_kept_ids_filters_before_the_exchange(spark):
+    history = spark.range(-1000, 200_000, 1, 8).selectExpr(
+        "id * 37 AS changeset", "'node' AS type", "map('building', 'y') AS tags", "1L AS version", "true AS visible",
+    )
+    kept = spark.sql("SELECT id * 37 AS id FROM range(-500, 190000) WHERE id % 100 < 3 UNION ALL SELECT 5 UNION ALL SELECT 0")
+    ways = [rollup_for(history, kept, 1 << 40, **limits) for limits in (
+        {"bitmap_limit": 1 << 40}, {"bitmap_limit": 0}, {"broadcast_limit": 1 << 60})]
+    found = [sorted(tuple(r) for r in way.collect()) for way in ways]
+    assert found[0] == found[1] == found[2] and len(found[0]) == kept.intersect(history.selectExpr("changeset AS id")).count()
+    plan = ways[0]._jdf.queryExecution().executedPlan().toString()
+    counted = plan[plan.index("partial_count"):]
+    counted = counted[: counted.index("Range")]
+    assert "BroadcastHashJoin" in counted and "Exchange hashpartitioning" not in counted
+    # the rows that are exchanged are those of kept ids
+    kept_rows = in_bitmap(history, id_bitmap(kept), "changeset").count()
+    assert kept_rows == len(found[0]) < 0.04 * history.count()
 
 
 def test_hot_cell_daily_aggregate(spark, activity):
