@@ -11,7 +11,7 @@ from editpulse.operators.changesets import CUTOFF, changeset_columns, member_sem
 from editpulse.operators.rollup import metric_structs, rollup_for
 from editpulse.operators.spatial import CELL_DEGREES, locate, prepared_index
 from editpulse.sources import sinks, tables
-from editpulse.sources.working import working_table
+from editpulse.sources.working import working_run, working_table
 
 ENRICHED_COLUMNS = (
     "id", "uid", "username", "created_at", "closed_at", "comment", "created_by",
@@ -26,6 +26,7 @@ def enrich_changesets(
     index: DataFrame,
     since: dt.date = CUTOFF,
     cell: float = CELL_DEGREES,
+    members_ds: str | None = None,
 ) -> DataFrame:
     """One row per member changeset that has element history, with counters and country.
 
@@ -34,7 +35,7 @@ def enrich_changesets(
     restricted, and ``ds`` is the newest date among them, with or without history.
     The second pass reads the other columns a caller asks for.
     """
-    kept = member_semi_join(changesets, members, since)
+    kept = member_semi_join(changesets, members, since, ds=members_ds)
     ids = working_table(
         kept.select("id", F.col("created_at").cast("timestamp_ntz").cast("date").alias("day")), "kept"
     )
@@ -65,12 +66,14 @@ def run(
     keep_others: bool = False,
 ) -> None:
     """Read the four inputs, enrich, write the partitioned output."""
-    index = prepared_index(tables.read_boundaries(spark, boundaries))
-    enriched = enrich_changesets(
-        tables.read_changesets(spark, changesets),
-        tables.read_history(spark, history),
-        tables.read_members(spark, members),
-        index,
-        since,
-    )
-    sinks.write_partitioned(sinks.with_geometry(enriched), output, "ds", keep_others)
+    with working_run(spark):
+        newest = tables.newest_partition(spark, members)
+        enriched = enrich_changesets(
+            tables.read_changesets(spark, changesets),
+            tables.read_history(spark, history),
+            tables.read_members(spark, members, newest),
+            prepared_index(tables.read_boundaries(spark, boundaries)),
+            since,
+            members_ds=newest,
+        )
+        sinks.write_partitioned(sinks.with_geometry(enriched), output, "ds", keep_others)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from editpulse.functions.wkb import point_wkb
+from editpulse.sources.release import replace_folder
+from editpulse.sources.storage import file_system, hadoop_path
 
 # Output names of the dashboard release.
 RELEASED = {
@@ -24,15 +27,21 @@ def with_geometry(df: DataFrame) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, column: str = "ds", keep_others: bool = False) -> None:
-    """ZSTD Parquet partitioned by ``ds``; older partitions go unless ``keep_others``."""
-    mode = "dynamic" if keep_others else "static"
-    (
-        df.write.mode("overwrite")
-        .partitionBy(column)
-        .option("compression", "zstd")
-        .option("partitionOverwriteMode", mode)
-        .parquet(path)
-    )
+    """ZSTD Parquet partitioned by ``ds``; older partitions go unless ``keep_others``.
+
+    A run that fails leaves the table as it was and can be repeated: with ``keep_others`` Spark
+    moves finished partitions into place, without it the whole table is written aside and moved.
+    """
+    writer = df.write.mode("overwrite").partitionBy(column).option("compression", "zstd")
+    if keep_others:
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        return
+    spark, aside = df.sparkSession, f"{path.rstrip('/')}-new-{uuid.uuid4().hex}"
+    try:
+        writer.parquet(aside)
+        replace_folder(spark, aside, path)
+    finally:
+        file_system(spark, aside).delete(hadoop_path(spark, aside), True)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -56,11 +65,6 @@ def write_tiles(tiles: DataFrame, path: str) -> None:
     tiles.hint("rebalance", "x").write.mode("overwrite").partitionBy("z", "x").option("compression", "zstd").parquet(path)
 
 
-def write_marker(spark: SparkSession, ds: str, path: str) -> None:
-    """One line naming the partition in use."""
-    spark.range(1).select(F.lit(ds).alias("value")).write.mode("overwrite").text(path)
-
-
 def read_marker(spark: SparkSession, path: str) -> str:
     return spark.read.text(path).first()["value"]
 

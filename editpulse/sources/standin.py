@@ -71,16 +71,41 @@ def changesets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ELEMENT_TAGS = """CASE l_partkey % 6
+    WHEN 0 THEN CASE WHEN l_partkey % 12 = 0 THEN map('building', 'yes', 'highway', 'path')
+                     ELSE map('building', 'yes') END
+    WHEN 1 THEN map('highway', 'track') WHEN 2 THEN map('amenity', 'school')
+    WHEN 3 THEN map('name', 'n') WHEN 4 THEN map() END"""
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as element versions; tags cycle through themed, other, empty and NULL."""
     return given_table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS changeset",
         "CASE l_returnflag WHEN 'N' THEN 'node' WHEN 'A' THEN 'way' ELSE 'relation' END AS type",
-        """CASE l_partkey % 6
-             WHEN 0 THEN CASE WHEN l_partkey % 12 = 0 THEN map('building', 'yes', 'highway', 'path')
-                              ELSE map('building', 'yes') END
-             WHEN 1 THEN map('highway', 'track') WHEN 2 THEN map('amenity', 'school')
-             WHEN 3 THEN map('name', 'n') WHEN 4 THEN map() END AS tags""",
+        f"{_ELEMENT_TAGS} AS tags",
+        "cast(l_linenumber AS bigint) AS version",
+        "l_linestatus = 'O' AS visible",
+    )
+
+
+def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as whole elements: nodes have a place, ways have nodes, relations have a member."""
+    kind = "CASE l_returnflag WHEN 'N' THEN 'node' WHEN 'A' THEN 'way' ELSE 'relation' END"
+    items = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string, l_linestatus string"
+    given = spark.read.schema(f"{items}, l_shipdate timestamp_ntz").parquet(f"{sf_dir}/lineitem.parquet")
+    return given.selectExpr(
+        "l_orderkey * 8 + l_linenumber AS id",
+        f"{kind} AS type",
+        f"{_ELEMENT_TAGS} AS tags",
+        "cast(CASE WHEN l_returnflag = 'N' THEN (l_partkey % 10000 - 5000) / 128D END AS decimal(9,7)) AS lat",
+        "cast(CASE WHEN l_returnflag = 'N' THEN (l_suppkey % 20000 - 10000) / 128D END AS decimal(10,7)) AS lon",
+        "CASE WHEN l_returnflag = 'A' THEN transform(sequence(1, l_linenumber), n -> named_struct('ref', l_partkey + n - 1)) END AS nds",
+        "CASE WHEN l_returnflag = 'R' THEN array(named_struct('type', 'way', 'ref', l_suppkey, 'role', 'outer')) END AS members",
+        "l_orderkey AS changeset",
+        "l_shipdate AS timestamp",
+        "l_suppkey AS uid",
+        "concat('mapper-', l_suppkey) AS user",
         "cast(l_linenumber AS bigint) AS version",
         "l_linestatus = 'O' AS visible",
     )

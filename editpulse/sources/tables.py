@@ -4,24 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from editpulse import schemas
 from editpulse.functions.grid import cell_of_point
 from editpulse.functions.wkb import point_xy
+from editpulse.sources.storage import partitions
+
+
+def _read_orc(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """ORC files whose timestamps are wall-clock times without a zone.
+
+    Spark's reader takes them as local times of the JVM. They come out as stored only if the
+    session's zone is that of the JVMs, so any other setting is refused. (The driver is looked at;
+    executors must be started with the same zone.)
+    """
+    zones = spark._jvm.java.time.ZoneId
+    session, machine = zones.of(spark.conf.get("spark.sql.session.timeZone")), zones.systemDefault()
+    if not session.getRules().equals(machine.getRules()):
+        raise ValueError(
+            f"ORC timestamps would be shifted: spark.sql.session.timeZone is {session}, the JVM's zone {machine}; "
+            "set -Duser.timezone for driver and executors to the session's zone"
+        )
+    return spark.read.schema(schema).orc(path)
 
 
 def read_changesets(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CHANGESETS).orc(path)
+    return _read_orc(spark, path, schemas.CHANGESETS)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """Element history; consumers select five columns, the ORC reader prunes the rest."""
-    return spark.read.schema(schemas.ELEMENTS).orc(path)
+    return _read_orc(spark, path, schemas.ELEMENTS)
 
 
 def read_planet(spark: SparkSession, path: str) -> DataFrame:
     """Current elements: same layout as the history."""
-    return spark.read.schema(schemas.ELEMENTS).orc(path)
+    return _read_orc(spark, path, schemas.ELEMENTS)
 
 
 def read_boundaries(spark: SparkSession, path: str) -> DataFrame:
@@ -30,17 +49,24 @@ def read_boundaries(spark: SparkSession, path: str) -> DataFrame:
     Some files carry a garbled name for that field, so structs are matched by
     position.
     """
-    raw = spark.read.parquet(path)
+    return by_position(spark.read.parquet(path))
+
+
+def by_position(raw: DataFrame) -> DataFrame:
+    """Boundary columns with the declared names; struct fields are taken by position."""
     wanted = [f for f in schemas.BOUNDARIES.fields if f.name in raw.columns]
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
 
 
-def read_members(spark: SparkSession, path: str) -> DataFrame:
-    """Members of every ``ds`` partition, with ``chapter_id`` as an alias of ``team_id``.
+def read_members(spark: SparkSession, path: str, ds: str | None = None) -> DataFrame:
+    """Members of one ``ds`` partition or of all, with ``chapter_id`` as an alias of ``team_id``.
 
-    ``ds`` is declared a string in the schema, so it is not inferred as a date.
+    ``ds`` is declared a string in the schema, so it is not inferred as a date; a given value is a
+    literal partition filter, which leaves the other folders unread.
     """
     raw = spark.read.schema(schemas.MEMBERS).parquet(path)
+    if ds is not None:
+        raw = raw.where(F.col("ds") == ds)
     return raw.withColumn("chapter_id", F.col("team_id"))
 
 
@@ -68,20 +94,11 @@ def with_cell(changesets: DataFrame) -> DataFrame:
 
 
 def newest_partition(spark: SparkSession, path: str, column: str = "ds") -> str | None:
-    """Largest ``column=value`` folder of a table with files in it, from one listing; no file is opened.
+    """Largest ``column=value`` folder of a table with files in it, from listings; no file is opened.
 
     None if the table is not laid out in such folders.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    prefix, default = f"{column}=", f"{column}=__HIVE_DEFAULT_PARTITION__"
-    names = [f.getPath().getName() for f in files.listStatus(root) if f.isDirectory()]
-    for name in sorted((n for n in names if n.startswith(prefix) and n != default), reverse=True):
-        inside = [f.getPath().getName() for f in files.listStatus(hadoop.Path(root, name))]
-        if any(not n.startswith(("_", ".")) for n in inside):
-            return name.removeprefix(prefix)
-    return None
+    return max(partitions(spark, path, column), default=None)
 
 
 def latest_partition(df: DataFrame, column: str = "ds") -> DataFrame:

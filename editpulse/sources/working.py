@@ -1,12 +1,49 @@
-"""Working tables in the shared checkpoint folder (K9)."""
+"""Working tables in the shared checkpoint folder and how long they live (K9)."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from editpulse.session import checkpoint_dir
+from editpulse.sources.storage import file_system, hadoop_path
+
+# Folders of the runs that are open, the innermost last.
+_open_runs: list[str] = []
+
+
+@contextmanager
+def working_run(spark: SparkSession) -> Iterator[str]:
+    """Working tables made inside live in one folder, which goes when the run succeeds.
+
+    After a failure the folder stays, so that the tables can be looked at; its path is
+    added to the error. Nothing read from them may be used after the run.
+    """
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    _open_runs.append(folder)
+    try:
+        yield folder
+    except BaseException as error:
+        error.add_note(f"working tables are kept in {folder}")
+        raise
+    else:
+        file_system(spark, folder).delete(hadoop_path(spark, folder), True)
+    finally:
+        _open_runs.remove(folder)
+
+
+def working_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the open run's folder, or in one that is removed when the application ends."""
+    if _open_runs:
+        return f"{_open_runs[-1]}/{name}-{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    files = file_system(spark, folder)
+    files.mkdirs(hadoop_path(spark, folder))
+    files.deleteOnExit(hadoop_path(spark, folder))
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def working_table(df: DataFrame, name: str) -> DataFrame:
@@ -17,6 +54,6 @@ def working_table(df: DataFrame, name: str) -> DataFrame:
     run sees a stale table.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = working_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
