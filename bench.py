@@ -30,7 +30,7 @@ HEADLINE = (
 
 
 def main() -> None:
-    from editpulse.checks.queries import QUERIES
+    from editpulse.checks.registry import QUERIES
     from editpulse.session import build_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -6,8 +6,8 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
-from editpulse.checks.oracle import ORACLE as SQL
-from editpulse.checks.queries import QUERIES
+from editpulse.checks.registry import ORACLE as SQL
+from editpulse.checks.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
