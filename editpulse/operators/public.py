@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from editpulse.operators.members import member_columns
 from editpulse.operators.sizing import BROADCAST_BYTES, broadcast_if_small
-from editpulse.operators.spatial import CELL_DEGREES, identified_shapes, locate
+from editpulse.operators.spatial import Index, identified_shapes, locate
 
 
 def public_rollup(
     daily: DataFrame,
     members: DataFrame,
     boundaries: DataFrame,
-    index: DataFrame,
-    cell: float = CELL_DEGREES,
+    index: Index,
+    cell: float | None = None,
     keep_boxes: bool = True,
     broadcast_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from editpulse.operators.changesets import CUTOFF, changeset_columns, member_semi_join
 from editpulse.operators.rollup import metric_structs, rollup_for
-from editpulse.operators.spatial import CELL_DEGREES, locate, prepared_index
+from editpulse.operators.spatial import Index, locate, prepared_index
 from editpulse.sources import sinks, tables
 from editpulse.sources.working import working_run, working_table
 
@@ -23,9 +23,9 @@ def enrich_changesets(
     changesets: DataFrame,
     history: DataFrame,
     members: DataFrame,
-    index: DataFrame,
+    index: Index,
     since: dt.date = CUTOFF,
-    cell: float = CELL_DEGREES,
+    cell: float | None = None,
     members_ds: str | None = None,
 ) -> DataFrame:
     """One row per member changeset that has element history, with counters and country.

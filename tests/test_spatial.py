@@ -43,8 +43,8 @@ def shape_frame(spark, shapes):
     )
 
 
-def joined(spark, frame, points, cell, limit=1 << 27):
-    index = prepared_index(frame, cell, limit)
+def joined(spark, frame, points, cell, limit=1 << 27, bound=64):
+    index = prepared_index(frame, cell, limit, bound)
     located = locate(spark.createDataFrame(points, "id long, lon double, lat double"), index, cell)
     return located, sorted([(r["id"], r["a3"]) for r in located.select("id", "a3").collect()], key=repr)
 
@@ -57,15 +57,15 @@ def star(rng, cx, cy, n, scale):
     return [*ring, ring[0]]
 
 
-@pytest.mark.parametrize("cell", [0.5, 3.0, 17.0])
-def test_random_shapes(spark, cell):
+@pytest.mark.parametrize(("cell", "bound"), [(0.5, 64), (3.0, 64), (17.0, 64), (40.0, 5)])
+def test_random_shapes(spark, cell, bound):
     rng = np.random.default_rng(7)
     shapes = []
     for n in range(20):
         cx, cy = rng.uniform(-50, 50, 2)
         shapes.append((f"S{n}", [[star(rng, cx, cy, 25, 15)], [star(rng, cx + 30, cy, 12, 10), star(rng, cx + 30, cy, 8, 1.4)]]))
     points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-70, 70, (3000, 2)))]
-    _, got = joined(spark, shape_frame(spark, shapes), points, cell)
+    _, got = joined(spark, shape_frame(spark, shapes), points, cell, bound=bound)
     assert got == expected_pairs(shapes, points)
     assert sum(a3 is not None for _, a3 in got) > 500
 
@@ -96,12 +96,57 @@ def test_shuffled_path_agrees_and_neither_is_nested_loop(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert a == b == expected_pairs(list(SHAPES.items()), points)
     small_plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in small_plan and "Exchange hashpartitioning" not in small_plan
+    # the index gathers its own lists by shape and cell; points stay where they are
+    assert "BroadcastHashJoin" in small_plan and small_plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(shape" in small_plan
     assert "SortMergeJoin" in big_plan or "ShuffledHashJoin" in big_plan
     for plan in (small_plan, big_plan):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_lattice_points_in_cut_cells(spark):
+    """Points on borders, corners and lines of cells of several levels."""
+    points = [(i * 1000 + j, 4 + i / 4, 4 + j / 4) for i in range(0, 150, 2) for j in range(0, 68, 2)]
+    _, got = joined(spark, boundaries(spark), points, 32.0, bound=3)
+    assert got == expected_pairs(list(SHAPES.items()), points)
+
+
+@pytest.mark.parametrize("limit", [1 << 27, 0])
+def test_ring_of_many_edges_in_one_cell(spark, limit):
+    n = 200_000
+    angles = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    radii = 0.2 + 0.02 * np.sin(angles * 40)
+    ring = np.stack([10.25 + radii * np.cos(angles), 20.25 + radii * np.sin(angles)], axis=1)
+    closed = [[float(x), float(y)] for x, y in ring]
+    shapes = [("R", [[[*closed, closed[0]]]]), ("B", [[[[10.1, 20.1], [10.4, 20.1], [10.4, 20.4], [10.1, 20.4], [10.1, 20.1]]]])]
+    index = prepared_index(shape_frame(spark, shapes), 0.5, limit)
+    assert index.cuts and index.cells.agg(F.max(F.size("edges"))).first()[0] <= 64
+    rng = np.random.default_rng(5)
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform((10, 20), (10.5, 20.5), (4000, 2)))]
+    points += [(9000 + i, float(10.25 + (0.2 + 0.02 * np.sin(40 * a) + d) * np.cos(a)), float(20.25 + (0.2 + 0.02 * np.sin(40 * a) + d) * np.sin(a)))
+               for i, (a, d) in enumerate(zip(rng.uniform(0, 6.28, 500), rng.choice([-1e-6, 1e-6], 500)))]
+    frame = spark.createDataFrame(points, "id long, lon double, lat double")
+    got = {(r["id"], r["a3"]) for r in locate(frame, index).collect()}
+    x1, y1, x2, y2 = ring[:, 0], ring[:, 1], np.roll(ring[:, 0], -1), np.roll(ring[:, 1], -1)
+    for key, x, y in points:
+        spans = (y1 > y) != (y2 > y)
+        in_ring = bool((x < x1[spans] + (y - y1[spans]) * (x2[spans] - x1[spans]) / (y2[spans] - y1[spans])).sum() % 2)
+        in_box = 10.1 < x < 10.4 and 20.1 < y < 20.4
+        want = {(key, a3) for a3, held in (("R", in_ring), ("B", in_box)) if held} or {(key, None)}
+        assert {p for p in ((key, "R"), (key, "B"), (key, None)) if p in got} == want
+
+
+def test_edges_that_meet_in_one_point_end_the_cutting(spark):
+    fan = [[0.0, 0.0]]
+    for i in range(12):
+        a, b = i * 0.5, i * 0.5 + 0.2
+        fan += [[float(np.cos(a)), float(np.sin(a))], [float(np.cos(b)), float(np.sin(b))], [0.0, 0.0]]
+    shapes = [("F", [[fan]])]
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(np.random.default_rng(1).uniform(-1, 1, (300, 2)))]
+    _, got = joined(spark, shape_frame(spark, shapes), points, 2.0, bound=30)
+    assert got == expected_pairs(shapes, points)
+
+
 def test_equal_boundaries_stay_separate(spark):
     frame = boundaries(spark).where("a3 = 'AAA'")
     doubled = frame.unionByName(frame)
