@@ -1,21 +1,26 @@
 """Document fingerprints from closed syncmers (operator 4); DataFrame functions only.
 
-A text is its sequence of units: words cut after each vowel, digit, sign and character beyond ASCII
-(and after eight consonants), so that texts without white space have many units as well; ``K - 1``
+A text is its sequence of units: words cut after each a, e, i, o, digit, sign and character beyond ASCII
+(and after eight other letters), so that texts without white space have many units as well; ``K - 1``
 end marks follow. Of all runs of ``K`` units those are chosen whose smallest inner run of ``S`` units,
 by hash, is the first or the last one. Whether a run is chosen depends on nothing outside it, so a
 passage has the same anchors in every document; any ``2 * K - S - 1`` units in a row hold one. The end
 marks give a run to each unit of a text of any length, so one definition holds for all; a text with
-units has an anchor, since its last run is always chosen. All steps are array functions over one
-row; running minima are built by doubling, never from all pairs.
+units has an anchor, since its last run is always chosen. All steps are array functions over one row.
+A print lists 24 bits of each anchor's hash, so it is shorter than its text; anchors of different runs
+agree by chance once in 16.8 million pairs.
 
-The edited text of the registered query needs the next document in descending id order. Ids are cut
-into cells of about ``CELL`` documents; each cell also receives the last document of the cell
-before it, so one exchange of the texts and a window inside each cell find every neighbour.
+The edited text of the registered query needs the next document in descending id order. The distinct
+(id, text hash) pairs alone are sorted by range and get dense positions; each text is brought to its
+position by an equi-join and then to its cell of ``CELL`` positions, whatever the ids' spread. The first
+text of a cell also goes to the cell before it, so a window inside each cell finds every neighbour.
+Prints are made after that exchange and never travel.
 
 Defined cases: null is empty; texts without units have an empty fingerprint, which is like another
 empty one (1.0) and like nothing else (0.0); rows with equal id are ordered by text hash, null ids
-come before all others; a single document is its own next one; an empty table gives no rows.
+come after all others in descending order; rows with equal id and text follow each other, so all but
+one of them have themselves as the next text, and are worked out once however many they are; a single
+document is its own next one; an empty table gives no rows. Ids may be of any sortable type.
 """
 
 from __future__ import annotations
@@ -25,48 +30,50 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from editpulse.llm.columns import id_and_text, table
-from editpulse.operators.sizing import broadcast_if_small
+from editpulse.operators.positions import with_positions
 from editpulse.sources.working import working_table
 
 K, S = 5, 2
+PRINT_BITS = 24
 CELL = 256
-_INNER = K - S + 1  # inner runs of a K-unit run
-_CONSONANTS = "B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz"
-UNITS = rf"[{_CONSONANTS}]{{0,7}}[^\x09-\x0D\x20{_CONSONANTS}]|[{_CONSONANTS}]{{1,8}}"
+COPIES = 4096  # equal rows listed at a time
+_LETTERS = "B-DF-HJ-NP-Zb-df-hj-np-z"  # letters that do not end a unit
+UNITS = rf"[{_LETTERS}]{{0,7}}[^\x09-\x0D\x20{_LETTERS}]|[{_LETTERS}]{{1,8}}"
+_KEY = ["_ll_none", "_ll_id", "hash"]
 _P = "_ll_"
 
 
-def _after(column: str, n: int) -> Column:
-    return F.slice(column, F.lit(n + 1), F.greatest(F.size(column) - n, F.lit(0)))
+def _runs(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """``df`` with ``out``: for each unit the 31-bit hash of the run that starts there, null if it is
+    not chosen."""
+    units, hashes, inner = _P + "units", _P + "hashes", _P + "inner"
+    df = df.withColumn(units, F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(UNITS), F.lit(0)))
+    marked = F.when(F.size(units) > 0, F.concat(units, F.array_repeat(F.lit(""), K - 1))).otherwise(F.col(units))
+    df = df.withColumn(hashes, F.transform(marked, lambda unit: F.xxhash64(unit)))
+    df = df.withColumn(
+        inner, F.transform(hashes, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + j) for j in range(1, S)]))
+    )
+
+    def chosen(first: Column, i: Column) -> Column:
+        others = [F.get(inner, i + j) for j in range(1, K - S + 1)]
+        run = F.xxhash64(*[F.get(hashes, i + j) for j in range(K)])
+        at_edge = F.least(first, *others) == F.least(first, others[-1])
+        return F.when(at_edge, F.pmod(run, F.lit(1 << 31)).cast("int"))
+
+    return df.withColumn(out, F.transform(F.slice(inner, F.lit(1), F.size(units)), chosen)).drop(units, hashes, inner)
 
 
 def with_anchors(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    """``df`` with ``out``: the anchors of ``text_col`` in text order, as (unit position, 32-bit hash)."""
-    smaller = lambda a, b: F.least(a, b)
-    paired = lambda a, b: F.xxhash64(a, b)
-    narrow = lambda h: F.pmod(h, F.lit(1 << 31)).cast("int")
-    steps = [
-        ("units", F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(UNITS), F.lit(0))),
-        ("marked", F.when(F.size(_P + "units") > 0, F.concat(_P + "units", F.array_repeat(F.lit(""), K - 1))).otherwise(F.col(_P + "units"))),
-        ("hash", F.transform(_P + "marked", lambda w: F.xxhash64(w))),
-        ("two", F.zip_with(_P + "hash", _after(_P + "hash", 1), paired)),
-        ("min2", F.zip_with(_P + "two", _after(_P + "two", 1), smaller)),
-        ("min", F.zip_with(_P + "min2", _after(_P + "min2", 2), smaller)),
-        ("edge", F.zip_with(_P + "two", _after(_P + "two", _INNER - 1), smaller)),
-        ("four", F.zip_with(_P + "two", _after(_P + "two", 2), paired)),
-        ("five", F.zip_with(_P + "four", _after(_P + "hash", K - 1), paired)),
-        ("chosen", F.zip_with(_P + "min", _P + "edge", lambda m, e: m == e)),
-        ("run", F.slice(F.zip_with(_P + "five", _P + "chosen", lambda h, c: F.when(c, h)), F.lit(1), F.size(_P + "units"))),
-    ]
-    for name, step in steps:
-        df = df.withColumn(_P + name, step)
-    anchor = lambda h, at: F.when(h.isNotNull(), F.struct(at.alias("at"), narrow(h).alias("hash")))
-    df = df.withColumn(out, F.array_compact(F.transform(_P + "run", anchor)))
-    return df.drop(*[_P + name for name, _ in steps])
-
-
-def anchor_hashes(anchors: str) -> Column:
-    return F.transform(anchors, lambda a: a["hash"])
+    """``df`` with ``out``: the anchors of ``text_col`` in text order, as (unit position, 31-bit hash)."""
+    anchor = lambda h, at: F.when(h.isNotNull(), F.struct(at.alias("at"), h.alias("hash")))
+    runs = _runs(df, text_col, _P + "runs")
+    return runs.withColumn(out, F.array_compact(F.transform(_P + "runs", anchor))).drop(_P + "runs")
+
+
+def with_print(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the hashes of the anchors of ``text_col`` in text order, ``PRINT_BITS`` of each."""
+    short = lambda h: h.bitwiseAND(F.lit((1 << PRINT_BITS) - 1))
+    return _runs(df, text_col, _P + "runs").withColumn(out, F.transform(F.array_compact(_P + "runs"), short)).drop(_P + "runs")
 
 
 def likeness(one: str, other: str) -> Column:
@@ -76,75 +83,82 @@ def likeness(one: str, other: str) -> Column:
 
 
 def shown(hashes: str) -> Column:
-    """Hash list as text: eight hex digits each, in text order."""
-    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
-
-
-def _cells(ids: DataFrame, size: int) -> Column:
-    """Cell number of ``doc_id``, about ``size`` rows each where ids are evenly spread; null is -1.
-
-    Three scalars reach the driver.
-    """
-    low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    if not n:
-        return F.lit(-1).cast("long")
-    width = max(1, (high - low + 1) * size // n)
-    return F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("long")
-
-
-def _last_before(ids: DataFrame) -> DataFrame:
-    """(target, id, hash): for each cell the last row of the nearest cell before it that has any; for
-    the first cell the last row of all. Neighbours are sought inside blocks of cells, then between
-    the blocks' ends."""
-    last = F.max(F.struct("doc_id", "hash")).alias("last")
-    cells = working_table(ids.groupBy("cell").agg(last).withColumn("block", F.floor(F.col("cell") / 4096)), "cells")
-    blocks = cells.groupBy("block").agg(F.max("last").alias("last"))
-    end = blocks.agg(F.max("last").alias("end"))
-    order = W.orderBy("block")
-    earlier = blocks.select("block", F.lag("last").over(order).alias("before"))
-    inner = cells.withColumn("own", F.lag("last").over(W.partitionBy("block").orderBy("cell")))
-    found = inner.join(earlier, "block").select(F.col("cell").alias("target"), F.coalesce("own", "before").alias("last"))
-    first = found.where(F.col("last").isNull()).select("target", F.lit(1).alias("one")).join(end.withColumn("one", F.lit(1)), "one")
-    both = found.where(F.col("last").isNotNull()).unionByName(first.select("target", F.col("end").alias("last")))
-    return both.select("target", F.col("last.doc_id").alias("_ll_gid"), F.col("last.hash").alias("_ll_ghash"))
-
-
-def with_next(docs: DataFrame, payload: list[str], size: int = CELL) -> DataFrame:
-    """``docs`` (doc_id, hash, ...) with ``next_<c>`` for each payload column: the values of the next
-    row in descending (doc_id, hash) order; the last row's next is the first."""
-    ids = docs.select("doc_id", "hash")
-    cell = _cells(ids, size)
-    ghosts = broadcast_if_small(working_table(_last_before(ids.withColumn("cell", cell)), "cell-ends"))
-    sent = docs.join(
-        ghosts, F.col("doc_id").eqNullSafe(F.col("_ll_gid")) & (F.col("hash") == F.col("_ll_ghash"))
-    ).select(*docs.columns, F.col("target").alias("cell"), F.lit(0).alias("own"))
-    rows = docs.withColumns({"cell": cell, "own": F.lit(1)}).unionByName(sent)
-    order = W.partitionBy("cell").orderBy("own", F.asc_nulls_first("doc_id"), "hash")
-    return (
-        rows.withColumns({f"next_{c}": F.lag(c).over(order) for c in payload})
-        .where(F.col("own") == 1)
-        .drop("cell", "own")
+    """Hash list as text: the three bytes of each in text order, as Base64 (four characters each)."""
+    return F.base64(F.unhex(F.array_join(F.transform(hashes, lambda h: F.lpad(F.hex(h), PRINT_BITS // 4, "0")), "")))
+
+
+def in_cells(docs: DataFrame, size: int = CELL) -> DataFrame:
+    """Distinct rows of ``docs`` (doc_id, hash, text) with their number ``_ll_n``, in cells of ``size``
+    places of the descending (doc_id, hash) order. The first of a cell is also, as a ghost, the last of
+    the cell before it; the first of all is that of the last cell. One count reaches the driver."""
+    kind = docs.schema["doc_id"].dataType
+    keyed = docs.select(
+        F.col("doc_id").isNull().alias(_KEY[0]), F.coalesce("doc_id", F.lit("0").cast(kind)).alias(_KEY[1]), "hash", "text"
     )
+    order = [F.asc(_KEY[0]), F.desc(_KEY[1]), F.desc("hash")]
+    places = working_table(with_positions(keyed.select(*_KEY).distinct(), order, name="_ll_place"), "places")
+    last = max(places.count() - 1, 0) // size
+    rows = keyed.groupBy(*_KEY).agg(F.first("text").alias("text"), F.count("*").alias("_ll_n"))
+    cell = F.floor(F.col("_ll_place") / size).cast("long")
+    own = F.struct(cell.alias("cell"), F.lit(0).alias("ghost"))
+    before = F.when(cell == 0, F.lit(last).cast("long")).otherwise(cell - 1)
+    sent = F.struct(before.alias("cell"), F.lit(1).alias("ghost"))
+    to = F.when(F.col("_ll_place") % size == 0, F.array(own, sent)).otherwise(F.array(own))
+    return rows.join(places, _KEY).withColumn("_ll_to", F.explode(to)).select(
+        F.when(~F.col(_KEY[0]), F.col(_KEY[1])).alias("doc_id"), "hash", "text", "_ll_n", "_ll_place",
+        F.col("_ll_to.cell").alias("_ll_cell"), F.col("_ll_to.ghost").alias("_ll_ghost"),
+    )
+
+
+def following(column: str) -> Column:
+    """The column's value in the next row of ``in_cells``; null in ghosts."""
+    return F.lead(column).over(W.partitionBy("_ll_cell").orderBy("_ll_ghost", "_ll_place"))
+
+
+def own_rows(df: DataFrame, payload: list[str]) -> DataFrame:
+    """Without ghosts, with ``copies``: one row that has the next one's payload and, of equal rows, one
+    that stands for all others, whose next is equal to them."""
+    once = F.struct(F.lit(1).cast("long").alias("copies"), *[F.col(f"next_{c}").alias(f"next_{c}") for c in payload])
+    others = F.struct((F.col("_ll_n") - 1).alias("copies"), *[F.col(c).alias(f"next_{c}") for c in payload])
+    both = F.when(F.col("_ll_n") > 1, F.array(once, others)).otherwise(F.array(once))
+    rows = df.where("_ll_ghost = 0").withColumn("_ll_with", F.explode(both))
+    internal = ["_ll_n", "_ll_place", "_ll_cell", "_ll_ghost", "_ll_with"]
+    return rows.withColumns({c: F.col(f"_ll_with.{c}") for c in ["copies", *[f"next_{c}" for c in payload]]}).drop(*internal)
+
+
+def repeated(df: DataFrame) -> DataFrame:
+    """Each row ``copies`` times."""
+    blocks = df.withColumn("_ll_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))))
+    each = F.array_repeat(F.lit(0), F.least(F.lit(COPIES), F.col("copies") - F.col("_ll_from")).cast("int"))
+    return blocks.withColumn("_ll_each", F.explode(each)).drop("copies", "_ll_from", "_ll_each")
+
+
+def with_next(docs: DataFrame, size: int = CELL) -> DataFrame:
+    """``docs`` (doc_id, hash, text) with ``next_text``: the text of the next row in descending
+    (doc_id, hash) order; the last row's next is the first."""
+    return repeated(own_rows(in_cells(docs, size).withColumn("next_text", following("text")), ["text"]))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = id_and_text(table(spark, sf_dir, "documents")).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash")
-    )
-    marked = with_anchors(docs, "text", "anchors").withColumn("print", anchor_hashes("anchors")).drop("anchors")
-    paired = with_next(marked, ["text", "print"])
+    text = F.coalesce("text", F.lit(""))
+    docs = id_and_text(table(spark, sf_dir, "documents")).select("doc_id", text.alias("text"), F.xxhash64(text).alias("hash"))
+    placed = in_cells(docs).withColumn("next_text", following("text"))
+    printed = with_print(placed, "text", "print").withColumn("next_print", following("print"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    edited = paired.withColumn(
+    edited = own_rows(printed, ["text", "print"]).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
     )
-    both = with_anchors(edited, "edited", "edited_anchors").withColumn("edited_print", anchor_hashes("edited_anchors"))
-    return both.select(
-        "doc_id",
-        n.cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        shown("print").alias("fingerprint"),
-        shown("edited_print").alias("edited_fingerprint"),
-        likeness("print", "edited_print").alias("near_edited"),
-        likeness("print", "next_print").alias("near_next"),
+    both = with_print(edited, "edited", "edited_print")
+    return repeated(
+        both.select(
+            "doc_id",
+            n.cast("long").alias("n_chars"),
+            F.sha2("edited", 256).alias("edited_sha256"),
+            shown("print").alias("fingerprint"),
+            shown("edited_print").alias("edited_fingerprint"),
+            likeness("print", "edited_print").alias("near_edited"),
+            likeness("print", "next_print").alias("near_next"),
+            "copies",
+        )
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 
@@ -71,14 +72,54 @@ def test_edited_texts_and_prints(spark):
         assert rows[doc_id].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert prints.setdefault(text, rows[doc_id].fingerprint) == rows[doc_id].fingerprint
     assert np.mean([r.near_edited for r in rows.values()]) > 0.2 > np.mean([r.near_next for r in rows.values()])
+    assert sum(len(r.fingerprint) for r in rows.values()) < sum(len(t) for _, t in docs)
+
+    def hashes(shown):
+        raw = base64.b64decode(shown)
+        return {raw[i : i + 3] for i in range(0, len(raw), 3)}
+
+    def likeness(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for i, (doc_id, _) in enumerate(docs):
+        own, after = rows[doc_id], rows[docs[(i + 1) % len(docs)][0]]
+        assert own.near_edited == likeness(hashes(own.fingerprint), hashes(own.edited_fingerprint))
+        assert own.near_next == likeness(hashes(own.fingerprint), hashes(after.fingerprint))
+
+
+@pytest.mark.parametrize("spread", ["far", "clustered", "hashed", "repeated", "one", "none"])
+def test_next_texts_whatever_the_ids(spark, spread):
+    rng = np.random.default_rng(5)
+    n = 3000
+    ids = {
+        "far": [1, 10**18, -(2**63), 2**63 - 1],
+        "clustered": [*range(n), 10**15],
+        "hashed": rng.integers(-(2**63), 2**63 - 1, n).tolist(),
+        "repeated": [None, None, *range(50), *[7] * n],
+        "one": [3],
+        "none": [],
+    }[spread]
+    texts = [f"text {i % 40}" if spread != "repeated" or i < 52 else "copy" for i in range(len(ids))]
+    rows = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    ordered = [(r.doc_id, r.text) for r in rows.orderBy(F.desc_nulls_last("doc_id"), F.desc("hash")).collect()]
+    expected = sorted((str(i), t, ordered[(k + 1) % len(ordered)][1]) for k, (i, t) in enumerate(ordered))
+    found = syncmers.with_next(rows, size=64).collect()
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in found) == expected
+
+
+def test_cells_hold_few_texts_whatever_the_ids(spark):
+    ids = spark.range(20_000).select(F.when(F.col("id") == 0, 10**15).otherwise(F.col("id")).alias("doc_id"))
+    docs = ids.withColumns({"text": F.col("doc_id").cast("string"), "hash": F.xxhash64("doc_id")})
+    cells = syncmers.in_cells(docs, 256).groupBy("_ll_cell").count().agg(F.max("count")).first()[0]
+    assert cells == 257
 
 
 def _near_edits(spark, rows):
     """Likeness of each text to itself with its second half replaced by other words."""
     pairs = [(i, t, t[: len(t) - len(t) // 2] + ("other words of no relation " * len(t))[: len(t) // 2]) for i, t in rows]
     both = spark.createDataFrame(pairs, "doc_id long, text string, edited string")
-    both = syncmers.with_anchors(syncmers.with_anchors(both, "text", "a"), "edited", "b")
-    both = both.withColumns({"a": syncmers.anchor_hashes("a"), "b": syncmers.anchor_hashes("b")})
+    both = syncmers.with_print(syncmers.with_print(both, "text", "a"), "edited", "b")
     return {r.doc_id: r.near for r in both.select("doc_id", syncmers.likeness("a", "b").alias("near")).collect()}
 
 
@@ -93,29 +134,25 @@ def test_every_half_kept_text_is_near(spark):
     far = {i: x for i, x in near.items() if x == 0}
     assert len(near) > 200 and not far, (len(far), len(near), [t for i, t in rows if i in far][:3])
     cut = spark.createDataFrame([(1, letters, "x" + letters[:1500] + "y" + letters[1500:])], "doc_id long, a string, b string")
-    cut = syncmers.with_anchors(syncmers.with_anchors(cut, "a", "p"), "b", "q")
-    assert cut.select(syncmers.likeness(syncmers.anchor_hashes("p"), syncmers.anchor_hashes("q"))).first()[0] > 0.9
+    cut = syncmers.with_print(syncmers.with_print(cut, "a", "p"), "b", "q")
+    assert cut.select(syncmers.likeness("p", "q")).first()[0] > 0.9
 
 
 def test_anchors_match_brute_force(spark):
     texts = [t for _, t in _documents(spark)][:30] + ["", "a", "ab cd", " \t x ", "naïve café 42!", "bcdfghjklmnp", "日本語のテキスト"]
     marked = syncmers.with_anchors(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text", "anchors").collect()
-    k, s, vowels = syncmers.K, syncmers.S, set("aeiouyAEIOUY")
+    k, s, enders = syncmers.K, syncmers.S, set("aeioAEIO")
     runs = {}
     for r in marked:
         units = []
         for word in re.split(r"[\x09-\x0D\x20]+", r.text):
             unit = ""
             for c in word:
-                consonant = c.isascii() and c.isalpha() and c not in vowels
-                if consonant and len(unit) == 8:
-                    units.append(unit)
-                    unit = ""
-                if not consonant and len(unit) == 8:
+                if len(unit) == 8:
                     units.append(unit)
                     unit = ""
                 unit += c
-                if not consonant:
+                if not (c.isascii() and c.isalpha()) or c in enders:
                     units.append(unit)
                     unit = ""
             units += [unit] * bool(unit)
@@ -311,7 +348,7 @@ def test_anchors_of_texts_beyond_the_place_bits(monkeypatch):
 
 def test_odd_rows_of_fingerprints(odd):
     docs = odd.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
-    rows = syncmers.with_next(docs, ["text"], size=2).orderBy(F.desc_nulls_last("doc_id"), F.desc("hash")).collect()
+    rows = syncmers.with_next(docs, size=2).orderBy(F.desc_nulls_last("doc_id"), F.desc("hash")).collect()
     follows = sorted((a.text, b.text) for a, b in zip(rows, rows[1:] + rows[:1], strict=True))
     assert sorted((r.text, r.next_text) for r in rows) == follows  # equal rows may swap places
     marked = syncmers.with_anchors(docs, "text", "anchors")
