@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.llm.batches import text_chunks, word_hashes
-from editpulse.llm.columns import table
+from editpulse.llm.columns import lowest_by_hash, table
 from editpulse.operators.sizing import broadcast_if_small
 from editpulse.sources.working import working_table
 
@@ -81,7 +81,7 @@ def _histograms(rows: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, steps: int = 400) -> np.ndarray | None:
     """Weights per trigram and the intercept. ``labels`` has ``doc_id, quality``."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(max_labelled)
+    chosen = lowest_by_hash(known, max_labelled)
     rows = docs.select("doc_id", "text").join(broadcast_if_small(chosen), "doc_id").select("label", "text")
     sample = _histograms(rows).collect()
     y = np.array([r.label for r in sample], dtype=np.float32)
@@ -171,12 +171,19 @@ def score_quality(
     path: str = "lang",
     max_labelled: int = MAX_LABELLED,
     reject_below: float = REJECT_BELOW,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """All columns of ``docs`` with ``_ll_quality`` (posterior) and ``_ll_keep``."""
+    """``columns`` of ``docs`` (default: all) with ``_ll_quality`` (posterior) and ``_ll_keep``.
+
+    Each text is classified once; the rows are written with their log odds and read again for the
+    site sums and the result.
+    """
+    columns = columns or docs.columns
     weights = train(docs, labels, max_labelled)
     if weights is None:
-        return docs.withColumns({"_ll_quality": F.lit(0.5), "_ll_keep": F.lit(True)})
-    scored = classify(docs, weights)
+        return docs.select(*columns).withColumns({"_ll_quality": F.lit(0.5), "_ll_keep": F.lit(True)})
+    written = list(dict.fromkeys([*columns, host, path]))
+    scored = working_table(classify(docs, weights).select(*written, "_ll_logit"), "quality-scores")
     sites, mean = site_posteriors(scored, host, path)
     sites = broadcast_if_small(sites)
     joined = scored.join(
@@ -186,7 +193,7 @@ def score_quality(
     shift = SITE_WEIGHT * (_log_odds(F.coalesce("_ll_site", F.lit(mean))) - F.lit(base))
     odds = F.coalesce("_ll_logit", F.lit(base)) + shift
     quality = 1 / (1 + F.exp(-odds))
-    return joined.select(*[scored[c] for c in docs.columns], quality.alias("_ll_quality")).withColumn(
+    return joined.select(*[scored[c] for c in columns], quality.alias("_ll_quality")).withColumn(
         "_ll_keep", F.col("_ll_quality") >= reject_below
     )
 
@@ -199,5 +206,6 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    scored = score_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    scored = score_quality(docs, labels, columns=["doc_id"])
     return scored.select("doc_id", F.col("_ll_quality").alias("quality"), F.col("_ll_keep").alias("kept"))

@@ -12,7 +12,7 @@ from compare import compare, duck
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from editpulse.llm import bpe, chat, decontaminate, line_dedup, minhash, quality, suffixes, syncmers, toxicity, url_filter
+from editpulse.llm import bpe, chat, columns, decontaminate, line_dedup, minhash, quality, suffixes, syncmers, toxicity, url_filter
 from editpulse.llm.components import connected_components
 from editpulse.llm.registry import ORACLE, QUERIES
 
@@ -402,6 +402,16 @@ def test_odd_urls(spark):
     assert url_filter.judge_urls(pages, rules.limit(0)).where("verdict = 'allow'").count() == 5
 
 
+def test_samples_by_hash_are_the_lowest_and_sorted_few(spark):
+    rows = spark.range(50_000).withColumnRenamed("id", "doc_id")
+    hashed = rows.select("doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).collect()
+    lowest = {r.doc_id for r in sorted(hashed, key=lambda r: (r.h, r.doc_id))[:500]}
+    sample = columns.lowest_by_hash(rows, 500)
+    assert {r.doc_id for r in sample.collect()} == lowest
+    assert "Filter" in sample._jdf.queryExecution().optimizedPlan().toString()
+    assert columns.lowest_by_hash(rows, 50_000).count() == 50_000 and columns.lowest_by_hash(rows.limit(0), 5).count() == 0
+
+
 def test_odd_rows_of_classifiers(spark, odd):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.score_quality(odd, none).where("_ll_keep").count() == len(ODD)
