@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.llm.batches import BASE, mixed, text_chunks, word_hashes
-from editpulse.llm.columns import id_and_text, table
+from editpulse.llm.columns import below_threshold, hash_place, id_and_text, table
 from editpulse.operators.sizing import broadcast_if_small
 from editpulse.sources.working import working_table
 
@@ -189,8 +189,9 @@ def _rows_of(words: DataFrame, keep: np.ndarray, limit: int) -> tuple[np.ndarray
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], bits], ["doc_id", "toxic", "fold", "bits"])
 
     kind = words.schema["doc_id"].dataType.simpleString()
-    packed = words.select("doc_id", "toxic", "fold", "words").mapInArrow(run, f"doc_id {kind}, toxic int, fold int, bits binary")
-    rows = packed.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(limit).select("toxic", "fold", "bits").collect()
+    near = below_threshold(words.select("doc_id", "toxic", "fold", "words"), limit)
+    packed = near.mapInArrow(run, f"doc_id {kind}, toxic int, fold int, bits binary")
+    rows = packed.orderBy(hash_place(), "doc_id").limit(limit).select("toxic", "fold", "bits").collect()
     bits = np.frombuffer(b"".join(r.bits for r in rows), dtype=np.uint8).reshape(len(rows), -1)
     x = np.unpackbits(bits, axis=1, count=len(keep))
     return x, np.array([r.toxic for r in rows], dtype=float), np.array([r.fold for r in rows], dtype=int)
