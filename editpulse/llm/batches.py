@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,11 +54,20 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
         row = end
 
 
-def word_hashes(offsets: np.ndarray, raw: np.ndarray, outside: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased words of a chunk, and each row's first word (n + 1 bounds).
+def text_pieces(column: pa.Array, overlap: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, first byte in it, row offsets, bytes): runs of whole rows as in ``text_chunks``; a
+    row much longer than ``limit`` comes in pieces that share ``overlap`` bytes with the next."""
+    for row, offsets, raw in text_chunks(column, limit):
+        if len(raw) <= 2 * limit:
+            yield row, 0, offsets, raw
+        else:  # only a single row is so long
+            for at in range(0, max(len(raw) - overlap, 1), limit):
+                part = raw[at : at + limit + overlap]
+                yield row, at, np.array([0, len(part)]), part
 
-    Words are maximal runs of bytes that ``outside`` does not mark; they end with their row.
-    """
+
+def _words(offsets: np.ndarray, raw: np.ndarray, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and position-weighted sums of the words of a chunk."""
     n = len(raw)
     inside = ~outside[raw]
     before = np.zeros(n, dtype=bool)
@@ -71,5 +80,39 @@ def word_hashes(offsets: np.ndarray, raw: np.ndarray, outside: np.ndarray = SPAC
     ends = np.flatnonzero(inside & last) + 1
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(BYTE_CODES[LOWERED[raw]] * powers(BASE, n), out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * powers(BASE_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+    return starts, ends, (sums[ends] - sums[starts]) * powers(BASE_INVERSE, n + 1)[starts]
+
+
+def word_hashes(offsets: np.ndarray, raw: np.ndarray, outside: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of a chunk, and each row's first word (n + 1 bounds).
+
+    Words are maximal runs of bytes that ``outside`` does not mark; they end with their row.
+    """
+    starts, ends, sums = _words(offsets, raw, outside)
+    return mixed(sums + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
+
+
+def streamed_word_hashes(parts: Iterable[np.ndarray], outside: np.ndarray = SPACES) -> Iterator[np.ndarray]:
+    """``word_hashes`` of one text that comes in pieces; a word may run over any number of them."""
+    open_sum, open_size = np.uint64(0), 0  # the word that the last piece ended in
+    for part in parts:
+        starts, ends, sums = _words(np.array([0, len(part)]), part, outside)
+        sizes = ends - starts
+        if open_size and len(starts) and starts[0] == 0:
+            sums[:1] = open_sum + sums[:1] * np.uint64(pow(int(BASE), open_size, 1 << 64))
+            sizes[0] += open_size
+        elif open_size and len(part):
+            sums, sizes = np.append(open_sum, sums), np.append(open_size, sizes)
+        elif open_size:
+            continue
+        open_size = 0
+        if len(ends) and ends[-1] == len(part):
+            open_sum, open_size = sums[-1], int(sizes[-1])
+            sums, sizes = sums[:-1], sizes[:-1]
+        yield mixed(sums + sizes.astype(np.uint64))
+    if open_size:
+        yield mixed(np.array([open_sum]) + np.uint64(open_size))
+
+
+def cut(raw: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
+    return (raw[at : at + limit] for at in range(0, len(raw), limit))

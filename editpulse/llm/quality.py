@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editpulse.llm.batches import text_chunks, word_hashes
+from editpulse.llm.batches import CHUNK_BYTES, cut, streamed_word_hashes, text_chunks, word_hashes
 from editpulse.llm.columns import lowest_by_hash, table
 from editpulse.operators.sizing import broadcast_if_small
 from editpulse.sources.working import working_table
@@ -41,20 +41,60 @@ FEATURES = N**3 + 1  # the last is the share of repeated words
 
 
 def _trigrams(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram numbers at each position of a chunk, and the row of each; none crosses rows.
-
-    A word equal to the one before counts as the last feature, in proportion to the bytes it takes.
-    """
+    """Trigram numbers at each position of a chunk, and the row of each; none crosses rows."""
     kinds = CLASSES[raw]
-    rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     same = rows[2:] == rows[:-2]
-    grams, owners = (kinds[:-2] * N * N + kinds[1:-1] * N + kinds[2:])[same], rows[2:][same]
-    hashes, first = word_hashes(offsets, raw)
-    words = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    again = np.bincount(words[1:][(hashes[1:] == hashes[:-1]) & (words[1:] == words[:-1])], minlength=len(first) - 1)
-    share = again / np.maximum(np.diff(first), 1)
-    extra = np.repeat(np.arange(len(share)), np.rint(share * np.diff(offsets)).astype(np.int64))
-    return np.concatenate([grams, np.full(len(extra), N**3)]), np.concatenate([owners, extra])
+    return (kinds[:-2] * (N * N) + kinds[1:-1] * N + kinds[2:])[same], rows[2:][same]
+
+
+def _repeats(offsets: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """How many trigrams each row's words that equal the one before count as: in proportion to the
+    bytes they take."""
+    if len(offsets) == 2:
+        again, words, last = 0, 0, None
+        for hashes in streamed_word_hashes(cut(raw)):
+            if len(hashes):
+                again += int((hashes[1:] == hashes[:-1]).sum()) + int(last == hashes[0])
+                words, last = words + len(hashes), hashes[-1]
+        share = np.array([again / max(words, 1)])
+    else:
+        hashes, first = word_hashes(offsets, raw)
+        row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        again = np.bincount(row[1:][(hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])], minlength=len(first) - 1)
+        share = again / np.maximum(np.diff(first), 1)
+    return np.rint(share * np.diff(offsets)).astype(np.int64)
+
+
+def _pieces(offsets: np.ndarray, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``_trigrams`` of a chunk; a single row, which may be long, in pieces that share two bytes."""
+    if len(offsets) > 2:
+        yield _trigrams(offsets, raw)
+    else:
+        for at in range(0, len(raw), CHUNK_BYTES):
+            part = raw[at : at + CHUNK_BYTES + 2]
+            yield _trigrams(np.array([0, len(part)]), part)
+
+
+def _shares(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, number, share) of each feature that a row of a chunk has, by row and number."""
+    n = len(offsets) - 1
+    extra = _repeats(offsets, raw)
+    if n == 1:
+        counts = np.zeros(FEATURES, dtype=np.int64)
+        for grams, _ in _pieces(offsets, raw):
+            counts += np.bincount(grams, minlength=FEATURES)
+        counts[N**3] = extra[0]
+        numbers = np.flatnonzero(counts)
+        return np.zeros(len(numbers), np.int64), numbers, counts[numbers] / max(counts.sum(), 1)
+    grams, owner = _trigrams(offsets, raw)
+    repeated = np.flatnonzero(extra)
+    keys, counts = np.unique(owner * np.int64(FEATURES) + grams, return_counts=True)
+    keys, counts = np.append(keys, repeated * FEATURES + N**3), np.append(counts, extra[repeated])
+    order = np.argsort(keys)
+    rows, numbers = np.divmod(keys[order], FEATURES)
+    sizes = np.bincount(rows, counts[order], minlength=n)
+    return rows, numbers, counts[order] / sizes[rows]
 
 
 def _histograms(rows: DataFrame) -> DataFrame:
@@ -63,16 +103,11 @@ def _histograms(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, offsets, raw in text_chunks(batch.column(1)):
-                grams, owner = _trigrams(offsets, raw)
                 n = len(offsets) - 1
-                keys, counts = np.unique(owner * FEATURES + grams, return_counts=True)
-                sizes = np.bincount(owner, minlength=n)
-                shares = (counts / sizes[keys // FEATURES]).astype("<f4")
-                cuts = np.searchsorted(keys // FEATURES, np.arange(n + 1))
-                packed = [
-                    (keys[a:b] % FEATURES).astype("<i4").tobytes() + shares[a:b].tobytes()
-                    for a, b in zip(cuts[:-1], cuts[1:], strict=True)
-                ]
+                rows_of, numbers, shares = _shares(offsets, raw)
+                numbers, shares = numbers.astype("<i4"), shares.astype("<f4")
+                cuts = np.searchsorted(rows_of, np.arange(n + 1))
+                packed = [numbers[a:b].tobytes() + shares[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n), pa.array(packed, pa.binary())], ["label", "packed"])
 
     return rows.mapInArrow(run, "label int, packed binary")
@@ -111,10 +146,12 @@ def classify(docs: DataFrame, weights: np.ndarray, text_col: str = "text", out:
     def logits(column: pa.Array) -> np.ndarray:
         found = []
         for _, offsets, raw in text_chunks(column):
-            grams, owner = _trigrams(offsets, raw)
             n = len(offsets) - 1
-            sizes = np.bincount(owner, minlength=n)
-            sums = np.bincount(owner, weights[grams], minlength=n)
+            sizes = _repeats(offsets, raw)
+            sums = sizes * weights[N**3]
+            for grams, owner in _pieces(offsets, raw):
+                sizes = sizes + np.bincount(owner, minlength=n)
+                sums += np.bincount(owner, weights[grams], minlength=n)
             found.append(np.where(sizes > 0, sums / np.maximum(sizes, 1) + weights[-1], np.nan))
         return np.concatenate(found) if found else np.zeros(0)
 

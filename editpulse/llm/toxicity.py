@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editpulse.llm.batches import BASE, mixed, text_chunks, word_hashes
+from editpulse.llm.batches import BASE, CHUNK_BYTES, cut, mixed, streamed_word_hashes, text_chunks, word_hashes
 from editpulse.llm.columns import below_threshold, hash_place, id_and_text, table
 from editpulse.operators.sizing import broadcast_if_small
 from editpulse.sources.working import working_table
@@ -80,13 +80,37 @@ def _of_terms() -> tuple[np.ndarray, np.ndarray]:
 TERM_WORDS, TERM_PREFIXES = _of_terms()
 
 
-def _buckets(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two buckets for each word, its own and its prefix's (its own again if it has none), and each
-    row's first bucket."""
-    words, prefixes, first = _hashes(offsets, raw)
+def _long_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_hashes`` of one long text, taken in pieces. The bytes before a piece tell how many letters
+    of its first word are gone."""
+
+    def blanked() -> Iterator[np.ndarray]:
+        for at in range(0, len(raw), CHUNK_BYTES):
+            low = max(0, at - 8 * PREFIX)
+            part = raw[low : at + CHUNK_BYTES]
+            yield _cut_words(np.array([0, len(part)]), part)[at - low :]
+
+    return tuple(np.concatenate(list(streamed_word_hashes(x, OUTSIDE))) for x in (cut(raw), blanked()))
+
+
+def _own_buckets(words: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
+    """Two buckets for each word, its own and its prefix's (its own again if it has none)."""
     has = (words != prefixes) & ~np.isin(prefixes, TERM_PREFIXES)
     both = np.stack([words, np.where(has, mixed(prefixes ^ BASE), words)], axis=1).ravel()
-    return (both % np.uint64(BUCKETS)).astype(np.int64), 2 * first
+    return (both % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def _buckets(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all words, and each row's first bucket; of a long row, distinct ones."""
+    if len(offsets) == 2 and len(raw) > CHUNK_BYTES:
+        words, prefixes = _long_hashes(raw)
+        held = np.zeros(BUCKETS, dtype=bool)
+        for at in range(0, len(words), CHUNK_BYTES):
+            held[_own_buckets(words[at : at + CHUNK_BYTES], prefixes[at : at + CHUNK_BYTES])] = True
+        found = np.flatnonzero(held)
+        return found, np.array([0, len(found)])
+    words, prefixes, first = _hashes(offsets, raw)
+    return _own_buckets(words, prefixes), 2 * first
 
 
 def identity_buckets() -> np.ndarray:
