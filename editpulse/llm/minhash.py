@@ -9,10 +9,13 @@ Documents with equal sets fold into one class first, so exact copies never meet
 representatives that share a band are linked if 100 * intersection >= 75 * union on the full sets.
 Linking goes in rounds that stay linear in the size of a bucket: each member is compared with the
 bucket's most central member (the one with the most entries in its buckets, as an original among its
-edited copies), then with its smallest id. Members still in different components of a bucket after that
-are compared across components, unless an upper bound of their intersection excludes the similarity:
-the shingles that some other such member holds, and the hash cells that both occupy. Links inside a component cannot change
-it, so none is lost that matters for the result.
+edited copies), then with its smallest id. Members of buckets that still hold several components are
+ordered rarest shingle first and joined on prefixes so long that each pair alike enough meets in its
+first common shingle; the smaller set's prefix is the shorter one, so a passage that many texts share
+brings none together that are not nearly alike. Links inside a component cannot change it, so pairs
+within one are left out and none is lost that matters for the result.
+
+Long texts are taken in pieces; only their sets are held whole.
 
 ``BANDS`` and ``ROWS`` miss a pair at exactly 0.75 with probability 8e-5 and at 0.8 with 5e-7.
 
@@ -27,10 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from editpulse.llm.batches import mixed, text_chunks, word_hashes
+from editpulse.llm.batches import CHUNK_BYTES, cut, mixed, streamed_word_hashes, text_chunks, word_hashes
 from editpulse.llm.columns import id_and_text, table
 from editpulse.llm.components import connected_components
 from editpulse.sources.working import working_table
@@ -39,27 +42,45 @@ SHINGLE = 5
 BANDS, ROWS = 48, 6
 UNIVERSE = 1 << 20
 SEED = 20_240_229
-CELLS = 2048  # bits of the map that bounds an intersection from above
 _WEIGHTS = mixed(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
 
 
+def _runs(words: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of five words."""
+    n = max(len(words) - SHINGLE + 1, 0)
+    runs = np.zeros(n, dtype=np.uint64)
+    for k in range(SHINGLE if n else 0):
+        runs += mixed(words[k : k + n] + _WEIGHTS[k]) * _WEIGHTS[k]
+    return runs
+
+
+def _whole(words: np.ndarray) -> np.ndarray:
+    """The set of a text of fewer words; their number keeps it apart from five-word runs."""
+    n = len(words)
+    return mixed(np.sum(mixed(words + _WEIGHTS[:n]) * _WEIGHTS[:n], keepdims=True) + np.uint64(n)) if n else words
+
+
+def _long_set(raw: np.ndarray) -> np.ndarray:
+    """The set of one long text, whose words are hashed in pieces."""
+    held, tail = [], np.zeros(0, dtype=np.uint64)
+    for words in streamed_word_hashes(cut(raw)):
+        words = np.concatenate([tail, words])
+        held.append(np.unique(_runs(words)))
+        tail = words[len(words) - SHINGLE + 1 :] if len(words) >= SHINGLE else words
+    found = np.unique(np.concatenate(held)) if held else tail
+    return found if len(found) else _whole(tail)
+
+
 def shingle_sets(offsets: np.ndarray, raw: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each row of a chunk."""
+    if len(offsets) == 2 and len(raw) > CHUNK_BYTES:
+        return [_long_set(raw)]
     words, first = word_hashes(offsets, raw)
-    spans = np.lib.stride_tricks.sliding_window_view(words, SHINGLE) if len(words) >= SHINGLE else None
-    runs = np.zeros(len(words), dtype=np.uint64)
-    if spans is not None:
-        for k in range(SHINGLE):
-            runs[: len(spans)] += mixed(spans[:, k] + _WEIGHTS[k]) * _WEIGHTS[k]
-    sets = []
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        if b - a >= SHINGLE:
-            sets.append(np.unique(runs[a : b - SHINGLE + 1]))
-        elif b > a:  # the whole sequence; its length keeps it apart from five-word runs
-            sets.append(mixed(np.sum(mixed(words[a:b] + _WEIGHTS[: b - a]) * _WEIGHTS[: b - a], keepdims=True) + np.uint64(b - a)))
-        else:
-            sets.append(np.zeros(0, dtype=np.uint64))
-    return sets
+    runs = _runs(words)
+    return [
+        np.unique(runs[a : b - SHINGLE + 1]) if b - a >= SHINGLE else _whole(words[a:b])
+        for a, b in zip(first[:-1], first[1:], strict=True)
+    ]
 
 
 class Signatures:
@@ -155,49 +176,56 @@ def _fits(n: str, m: str, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _shared_sizes(sets: DataFrame, members: DataFrame) -> DataFrame:
-    """``doc_id, m``: how many shingles of each member another member holds too. No intersection with
-    a member is larger."""
+def _prefix_entries(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """``shingle, id, component, n, at, short`` of the shingles in each member's prefix.
+
+    A member's shingles are ordered by how many members hold them, rarest first; ``at`` is the place.
+    The prefix is so long that it has the first common shingle with any set alike enough, ``short`` marks
+    the part that suffices for sets that are not smaller. Shingles that no other member holds are left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, blob in zip(batch.column(0), batch.column(1), strict=True):
-                own = np.frombuffer(blob.as_buffer(), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), ids.as_py())), pa.array(own)], ["doc_id", "shingle"])
-
-    listed = sets.join(members, "doc_id", "left_semi").select("doc_id", "shingles").mapInArrow(run, "doc_id long, shingle long")
-    held = listed.groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    alone = held.where("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
-    sized = sets.join(members, "doc_id", "left_semi").select("doc_id", (F.octet_length("shingles") / 8).cast("long").alias("n"))
-    return sized.join(alone, "doc_id", "left").select("doc_id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m"))
-
+            for row in range(batch.num_rows):
+                own = np.frombuffer(batch.column(2)[row].as_buffer(), dtype=np.int64)
+                for at in range(0, len(own), 100_000):
+                    part = own[at : at + 100_000]
+                    same = [pa.repeat(batch.column(i)[row], len(part)) for i in range(2)]
+                    yield pa.RecordBatch.from_arrays([*same, pa.repeat(pa.scalar(len(own), pa.int64()), len(part)), pa.array(part)], ["id", "component", "n", "shingle"])
+
+    held = sets.join(members.select(F.col("id").alias("doc_id"), "component"), "doc_id").select("doc_id", "component", "shingles")
+    listed = working_table(held.mapInArrow(run, "id long, component long, n long, shingle long"), "shingles")
+    common = listed.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
+    from_last = Window.partitionBy("id").orderBy(F.desc("holders"), F.desc("shingle"))
+    placed = listed.join(common, "shingle").withColumn("at", F.col("n") - F.row_number().over(from_last))
+    least = F.ceil(F.lit(percent) * F.col("n") / 100)  # of the intersection with any set, and with one not smaller
+    least_short = F.ceil(2 * F.lit(percent) * F.col("n") / (100 + percent))
+    return placed.where(F.col("at") <= F.col("n") - least).select(
+        "shingle", "id", "component", "n", "at", (F.col("at") <= F.col("n") - least_short).alias("short")
+    )
 
-def _cell_maps(sets: DataFrame, members: DataFrame) -> DataFrame:
-    """``id, cells, extra``: the hash cells that hold a shingle of the member, as bits, and how many of
-    its shingles share a cell with another of them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            maps, extra = [], []
-            for blob in batch.column(1):
-                own = np.frombuffer(blob.as_buffer(), dtype=np.uint64)
-                bits = np.zeros(CELLS, dtype=np.uint8)
-                bits[(own % np.uint64(CELLS)).astype(np.int64)] = 1
-                maps.append(np.packbits(bits).view(np.int64))
-                extra.append(len(own) - int(bits.sum()))
-            columns = [batch.column(0), pa.array(maps, pa.list_(pa.int64())), pa.array(extra, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "cells", "extra"])
-
-    return sets.join(members, "doc_id", "left_semi").select("doc_id", "shingles").mapInArrow(run, "id long, cells array<long>, extra long")
-
-
-def _most_shared() -> Column:
-    """An upper bound of the intersection of a and b: shingles that both hold lie in cells that both
-    have, and a cell holds more than one only as far as both have extra ones."""
-    common = F.aggregate(
-        F.zip_with("cells_a", "cells_b", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda total, x: total + x
+def prefix_pairs(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of ``members`` (``id, component``) of different components; all that are
+    alike enough are among them. Of each shingle's holders, those outside its largest component are
+    compared with all."""
+    entries = working_table(_prefix_entries(sets, members, percent), "prefixes")
+    shares = entries.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    largest = shares.groupBy("shingle").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
+    entries = entries.join(largest.where("parts > 1").drop("parts"), "shingle")
+    names = ["id", "component", "n", "at"]
+    few = F.col("component") != F.col("largest")
+    x = lambda rows: rows.where("short").select("shingle", *[F.col(c).alias(f"{c}_x") for c in names])
+    y = lambda rows: rows.select("shingle", *[F.col(c).alias(f"{c}_y") for c in names])
+    left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))  # no intersection is larger
+    alike = (
+        (F.col("component_x") != F.col("component_y"))
+        & (F.struct("n_x", "id_x") < F.struct("n_y", "id_y"))
+        & ((100 + percent) * left >= percent * (F.col("n_x") + F.col("n_y")))
     )
-    return common + F.least("extra_a", "extra_b")
+    both = x(entries.where(few)).join(y(entries), "shingle").where(alike).select("id_x", "id_y")
+    both = both.unionByName(x(entries.where(~few)).join(y(entries.where(few)), "shingle").where(alike).select("id_x", "id_y"))
+    return _pairs(both.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")))
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -251,25 +279,11 @@ def near_duplicates(
     links = working_table(links.unionByName(confirmed(more, sets, percent)), "links")
     tried = tried.unionByName(more)
     found = working_table(connected_components(links), "components")
-    # last round: members of every other component against the whole bucket
-    apart = working_table(with_component().select("bucket", "id", "n", "component"), "apart")
-    shares = apart.groupBy("bucket", "component").count()
-    largest = shares.groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-    mixed_buckets = working_table(apart.join(largest, "bucket"), "mixed")
-    members = mixed_buckets.select(F.col("id").alias("doc_id")).distinct()
-    shared = _shared_sizes(sets, members).withColumnRenamed("doc_id", "id").join(_cell_maps(sets, members), "id")
-    mixed_buckets = mixed_buckets.join(shared, "id")
-    few = mixed_buckets.where("component <> largest").select(
-        "bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("component").alias("ca"),
-        F.col("cells").alias("cells_a"), F.col("extra").alias("extra_a"),
-    )
-    all_ = mixed_buckets.select(
-        "bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("component").alias("cb"),
-        F.col("cells").alias("cells_b"), F.col("extra").alias("extra_b"),
-    )
-    enough = lambda most: 100 * most >= percent * (F.col("na") + F.col("nb") - most)
-    rest = few.join(all_, "bucket").where((F.col("ca") != F.col("cb")) & enough(F.least("ma", "mb")) & enough(_most_shared()))
-    rest = working_table(_pairs(rest).join(tried, ["a", "b"], "left_anti"), "tried")
+    # last round: members of buckets that hold several components, on their rarest shingles
+    apart = working_table(with_component().select("bucket", "id", "component"), "apart")
+    parts = apart.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    members = apart.join(parts, "bucket").select("id", "component").distinct()
+    rest = working_table(prefix_pairs(sets, members, percent).join(tried, ["a", "b"], "left_anti"), "tried")
     links = working_table(links.unionByName(confirmed(rest, sets, percent)), "links")
     found = working_table(connected_components(links), "components")
     of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select(

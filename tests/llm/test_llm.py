@@ -5,14 +5,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import compare, duck
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from editpulse.llm import bpe, chat, columns, decontaminate, line_dedup, minhash, quality, suffixes, syncmers, toxicity, url_filter
+from editpulse.llm import batches, bpe, chat, columns, decontaminate, line_dedup, minhash, quality, suffixes, syncmers, toxicity, url_filter
 from editpulse.llm.components import connected_components
 from editpulse.llm.registry import ORACLE, QUERIES
 
@@ -302,21 +304,99 @@ def test_star_of_copies_around_a_later_original(spark):
     assert {r.component_id for r in found} == {0}
 
 
-def test_cell_bound_is_never_below_the_intersection(spark):
+def _jaccard_percent(one, other):
+    both = len(np.intersect1d(one, other))
+    return 100 * both, len(one) + len(other) - both
+
+
+@pytest.mark.parametrize("percent", [50, 75, 100])
+def test_prefixes_lose_no_pair(spark, percent):
     rng = np.random.default_rng(3)
-    full = rng.integers(0, 1 << 63, 6000, dtype=np.uint64)
-    sets = [np.unique(rng.choice(full, n)) for n in (1, 7, 150, 160, 900, 4000, 5000)] + [full[:150], full[:140]]
+    full = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets = [np.unique(rng.choice(full[: rng.integers(4, 60)], rng.integers(1, 80))) for _ in range(60)]
+    sets += [full[:150], full[:140], np.append(full[:150], full[300:350]), full[:1], full[399:]]
+    for size, common in ((137, 104), (100, 75), (100, 86)):  # around the limit, equal sizes
+        for _ in range(4):
+            sets.append(np.append(full[:common], rng.integers(0, 1 << 63, size - common, dtype=np.uint64)))
+    held = spark.createDataFrame([(i, bytearray(np.sort(x).tobytes())) for i, x in enumerate(sets)], "doc_id long, shingles binary")
+    component = [i % 7 for i in range(len(sets))]
+    members = spark.createDataFrame(list(enumerate(component)), "id long, component long")
+    found = {(r.a, r.b) for r in minhash.prefix_pairs(held, members, percent).collect()}
+    assert all(component[a] != component[b] and a < b for a, b in found)
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            both, union = _jaccard_percent(sets[a], sets[b])
+            if component[a] != component[b] and both >= percent * union:
+                assert (a, b) in found
+
+
+def test_shared_boilerplate_brings_no_pairs_together(spark):
+    common = np.arange(1, 105, dtype=np.uint64)
+    sets = [np.append(common, np.arange(1000 + 33 * i, 1033 + 33 * i, dtype=np.uint64)) for i in range(3000)]
     held = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "doc_id long, shingles binary")
-    maps = minhash._cell_maps(held, held.select("doc_id"))
-    a, b = (maps.select([F.col(c).alias(f"{c}_{x}") for c in maps.columns]) for x in "ab")
-    pairs = a.join(b, F.col("id_a") < F.col("id_b")).select("id_a", "id_b", minhash._most_shared().alias("most")).collect()
-    assert len(pairs) == 36
-    for r in pairs:
-        one, other = sets[r.id_a], sets[r.id_b]
-        both = len(np.intersect1d(one, other))
-        assert both <= r.most <= min(len(one), len(other))
-        if max(len(one), len(other)) <= 160:  # and close to it for sets far smaller than the map
-            assert r.most <= both + 25
+    assert minhash.prefix_pairs(held, held.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("component")), 75).count() == 0
+
+
+def _long_text(seed, n):
+    words = ["women", "café", "漢字" * 9, "a", "the", "longerword", "x" * 40, "\n", "MEN", "12", "old-young", *map(str, range(3000))]
+    return " ".join(np.random.default_rng(seed).choice(words, n)) + "漢字" * 50_000 + "y" * 300_000
+
+
+def test_pieces_of_long_texts_equal_the_whole(monkeypatch):
+    raw = np.frombuffer(_long_text(1, 200_000).encode(), np.uint8)
+    bounds = np.array([0, len(raw)])
+
+    def results():
+        return [minhash.shingle_sets(bounds, raw)[0], *quality._shares(bounds, raw), np.unique(toxicity._buckets(bounds, raw)[0])]
+
+    pieces = results()
+    small = raw[:3000]
+    whole = batches.word_hashes(np.array([0, 3000]), small)[0]
+    for size in (1, 2, 3, 7, 64):
+        assert np.array_equal(np.concatenate(list(batches.streamed_word_hashes(batches.cut(small, size)))), whole)
+    for module in (minhash, quality, toxicity):
+        monkeypatch.setattr(module, "CHUNK_BYTES", 1 << 40)
+    assert all(np.array_equal(a, b) for a, b in zip(pieces, results(), strict=True))
+
+
+def test_memory_of_a_text_of_50_mb():
+    text = _long_text(2, 300_000)
+    raw = np.frombuffer((text * (50_000_000 // len(text.encode()) + 1)).encode(), np.uint8)
+    bounds, column = np.array([0, len(raw)]), pa.array([raw.tobytes().decode()])
+
+    def names():
+        for _, base, offsets, part in batches.text_pieces(column, suffixes.LENGTH - 1):
+            suffixes.Names(offsets, part, base)
+
+    steps = [lambda: minhash.shingle_sets(bounds, raw), lambda: quality._shares(bounds, raw), lambda: toxicity._buckets(bounds, raw), names]
+    for step in steps:
+        tracemalloc.start()
+        step()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 8 * len(raw)
+
+
+def test_repeats_across_pieces_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, n).astype(np.uint8) for n in (700_000, 900_000, 120_000)]
+    for at in (262_100, 262_144, 524_200, 524_288 - 49, 650_000):  # at and across the ends of pieces
+        texts[1][at + 90 : at + 290] = texts[0][at : at + 200]
+    texts[1][786_400 - 20 : 786_400 + 40] = texts[0][5_000:5_060]
+    texts[2][1_000:61_000] = texts[1][240_000:300_000]
+    expected, seen = {}, set()
+    for i, raw in enumerate(texts):
+        data = raw.tobytes()
+        own = [data[k : k + 50] for k in range(len(data) - 49)]
+        gone = np.zeros(len(data), dtype=bool)
+        for k, string in enumerate(own):
+            if string in seen:
+                gone[k : k + 50] = True
+        seen.update(own)
+        expected[i] = (int(gone.sum()), raw[~gone].tobytes())
+    docs = spark.createDataFrame([(i, raw.tobytes().decode()) for i, raw in enumerate(texts)], "doc_id long, text string")
+    assert expected[1][0] >= 700 and expected[2][0] >= 60_000
+    assert {r.doc_id: (r.n_removed, bytes(r.kept)) for r in suffixes.without_repeats(docs).collect()} == expected
 
 
 def test_components_of_a_chain(spark):
