@@ -7,7 +7,8 @@ and its ids are kept in a bounded dictionary, since words repeat. Every split of
 known tokens is a merge at that token's rank, which gives the ids of plain rank merging.
 
 Decoding maps ids to bytes by the reversed table; bytes of a character split over several tokens
-meet again in the joined bytes.
+meet again in the joined bytes. ``round_trip`` takes both steps in one Python worker, so that a core
+needs one of them and ids do not go back to the JVM in between.
 
 Defined cases: null and empty texts have no tokens; special-token strings are ordinary text; rows
 repeat as they come; an empty table gives no rows; unknown ids raise.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from editpulse.llm.columns import id_and_text, table
 
 # Pieces whose ids a worker keeps at once; beyond it the dictionary starts anew.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 200_000
 
 
 @lru_cache(maxsize=2)
@@ -86,18 +87,19 @@ class PieceEncoder:
             return b"".join(map(self.known.__getitem__, pieces))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids``: ids of each whole text as little-endian unsigned 32-bit integers."""
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    encoder = PieceEncoder(path, pattern)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            ids = [encoder.encode(text.as_py() or "") for text in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [encoder.encode(text.as_py() or "") for text in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids``: ids of each whole text as little-endian unsigned 32-bit integers."""
     source = id_and_text(docs, id_col, text_col)
+    run = lambda batches: _encoded(batches, path, pattern)
     return source.mapInArrow(run, f"doc_id {source.schema[0].dataType.simpleString()}, ids binary")
 
 
@@ -130,25 +132,37 @@ def token_offsets(ids: np.ndarray, joined: np.ndarray, bounds: np.ndarray) -> np
     return np.stack([opened[starts] - inner, opened[ends]], axis=1) if len(ids) else np.zeros((0, 2), np.int64)
 
 
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, offsets: bool) -> Iterator[pa.RecordBatch]:
+    joined, bounds = token_table(path)
+    names = ["doc_id", "ids", "decoded", *["offsets"] * offsets]
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            ids = [np.frombuffer(x.as_py() or b"", "<u4").astype(np.int64) for x in part.column(1)]
+            columns = [*part.columns, pa.array([decoded(x, joined, bounds).tobytes() for x in ids], pa.binary())]
+            if offsets:
+                spans = [token_offsets(x, joined, bounds).ravel().tolist() for x in ids]
+                columns.append(pa.array(spans, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def _decoded_schema(kind: str, offsets: bool) -> str:
+    return f"doc_id {kind}, ids binary, decoded binary" + ", offsets array<bigint>" * offsets
+
+
 def decode(encoded: DataFrame, path: str, offsets: bool = False) -> DataFrame:
     """``encoded`` with ``decoded`` bytes and, if asked for, ``offsets`` (start and end per token)."""
+    schema = _decoded_schema(encoded.schema["doc_id"].dataType.simpleString(), offsets)
+    return encoded.select("doc_id", "ids").mapInArrow(lambda batches: _decoded(batches, path, offsets), schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        joined, bounds = token_table(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [np.frombuffer(x.as_py() or b"", "<u4").astype(np.int64) for x in part.column(1)]
-                columns = [*part.columns, pa.array([decoded(x, joined, bounds).tobytes() for x in ids], pa.binary())]
-                if offsets:
-                    spans = [token_offsets(x, joined, bounds).ravel().tolist() for x in ids]
-                    columns.append(pa.array(spans, pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "ids", "decoded", *["offsets"] * offsets]
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, ids binary, decoded binary" + ", offsets array<bigint>" * offsets
-    return encoded.select("doc_id", "ids").mapInArrow(run, schema)
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False
+) -> DataFrame:
+    """``decode(encode(docs))``, both in one worker."""
+    source = id_and_text(docs, id_col, text_col)
+    run = lambda batches: _decoded(_encoded(batches, path, pattern), path, offsets)
+    return source.mapInArrow(run, _decoded_schema(source.schema[0].dataType.simpleString(), offsets))
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -156,8 +170,7 @@ def digests(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    both = decode(encode(docs, path, public_tokenizers.PATTERN), path)
-    return both.select(
+    return round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -210,6 +210,17 @@ def test_token_offsets_share_split_characters(spark):
     assert rows[2].ids == b"" and rows[2].offsets == []
 
 
+def test_round_trip_takes_one_worker_and_equals_both_steps(spark, odd):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    plan = bpe.digests(odd)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # each takes a worker of its own for every core
+    one = bpe.round_trip(odd, path, public_tokenizers.PATTERN, offsets=True)
+    two = bpe.decode(bpe.encode(odd, path, public_tokenizers.PATTERN), path, offsets=True)
+    assert one.schema == two.schema and sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
 def test_classifiers_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality", "toxic")
