@@ -25,6 +25,8 @@ document is its own next one; an empty table gives no rows. Ids may be of any so
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,8 +39,11 @@ K, S = 5, 2
 PRINT_BITS = 24
 CELL = 256
 COPIES = 4096  # equal rows listed at a time
-_LETTERS = "B-DF-HJ-NP-Zb-df-hj-np-z"  # letters that do not end a unit
-UNITS = rf"[{_LETTERS}]{{0,7}}[^\x09-\x0D\x20{_LETTERS}]|[{_LETTERS}]{{1,8}}"
+_LETTERS = "BCDFGHJKLMNPQRSTUVWXYZbcdfghjklmnpqrstuvwxyz"  # letters that do not end a unit
+# Each character is looked at once: letters are never given back, and any character but white space may follow
+# them, an eighth letter or the end of the unit. Classes without ranges are table lookups.
+_SOLID = r"[^\x09\x0A\x0B\x0C\x0D\x20]"
+UNITS = rf"[{_LETTERS}]{{1,7}}+{_SOLID}?+|{_SOLID}"
 _KEY = ["_ll_none", "_ll_id", "hash"]
 _P = "_ll_"
 
@@ -47,18 +52,19 @@ def _runs(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """``df`` with ``out``: for each unit the 31-bit hash of the run that starts there, null if it is
     not chosen."""
     units, hashes, inner = _P + "units", _P + "hashes", _P + "inner"
-    df = df.withColumn(units, F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(UNITS), F.lit(0)))
-    marked = F.when(F.size(units) > 0, F.concat(units, F.array_repeat(F.lit(""), K - 1))).otherwise(F.col(units))
-    df = df.withColumn(hashes, F.transform(marked, lambda unit: F.xxhash64(unit)))
+    found = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(UNITS), F.lit(0))
+    df = df.withColumn(units, F.transform(found, lambda unit: F.xxhash64(unit)))
+    marks = F.array_repeat(F.xxhash64(F.lit("")), K - 1)
+    df = df.withColumn(hashes, F.when(F.size(units) > 0, F.concat(units, marks)).otherwise(F.col(units)))
     df = df.withColumn(
         inner, F.transform(hashes, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + j) for j in range(1, S)]))
     )
 
     def chosen(first: Column, i: Column) -> Column:
-        others = [F.get(inner, i + j) for j in range(1, K - S + 1)]
+        last, *between = [F.get(inner, i + j) for j in (K - S, *range(1, K - S))]
+        lower = lambda edge: reduce(Column.__and__, [edge <= one for one in between])
         run = F.xxhash64(*[F.get(hashes, i + j) for j in range(K)])
-        at_edge = F.least(first, *others) == F.least(first, others[-1])
-        return F.when(at_edge, F.pmod(run, F.lit(1 << 31)).cast("int"))
+        return F.when(lower(first) | lower(last), run.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
 
     return df.withColumn(out, F.transform(F.slice(inner, F.lit(1), F.size(units)), chosen)).drop(units, hashes, inner)
 

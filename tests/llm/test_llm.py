@@ -125,6 +125,18 @@ def _near_edits(spark, rows):
     return {r.doc_id: r.near for r in both.select("doc_id", syncmers.likeness("a", "b").alias("near")).collect()}
 
 
+def test_units_are_as_defined_and_cheap_to_find():
+    letters = "B-DF-HJ-NP-Zb-df-hj-np-z"
+    plain = rf"[{letters}]{{0,7}}[^\x09-\x0D\x20{letters}]|[{letters}]{{1,8}}"
+    rng = np.random.default_rng(3)
+    ascii_signs, consonants = [chr(c) for c in range(128)], list("bcDfgHjklmnpqrStuUvwxyz a0")
+    for size in range(200):
+        text = "".join(rng.choice([*ascii_signs, *"é中😀"] if size % 2 else consonants, size=size))
+        assert re.findall(syncmers.UNITS, text) == re.findall(plain, text)
+    # Java walks through every range of a class, and gives letters back unless told not to
+    assert not re.search(r"\w-\w|\\x..-", syncmers.UNITS) and "}+" in syncmers.UNITS
+
+
 def test_every_half_kept_text_is_near(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where("text is not null")
     rows = [(r.doc_id, r.text) for r in docs.where(F.size(F.split("text", r"\s+")).between(8, 40)).collect()]
