@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -57,3 +58,10 @@ def working_table(df: DataFrame, name: str) -> DataFrame:
     path = working_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files and broadcasts of finished steps. It does so when the
+    driver collects garbage, which may come after several steps have left theirs."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -422,6 +423,55 @@ def test_repeats_across_pieces_match_brute_force(spark):
     assert {r.doc_id: (r.n_removed, bytes(r.kept)) for r in suffixes.without_repeats(docs).collect()} == expected
 
 
+def test_filters_of_repeats_grow_with_their_names(spark, monkeypatch):
+    names = batches.mixed(np.arange(60_000, dtype=np.uint64))
+    others = batches.mixed(np.arange(1 << 40, (1 << 40) + 60_000, dtype=np.uint64))
+    for n in (0, 60_000):
+        table = spark.createDataFrame([(int(x),) for x in names[:n].view(np.int64)], "name long")
+        for most in (5, 1 << 15):  # blocks a slice
+            monkeypatch.setattr(suffixes, "SLICE_BLOCKS", most)
+            filters = suffixes._filters_of(table)
+            held = np.sum([x.holds(names[:n]) for x in filters], axis=0)
+            total = max(1, -(-n * suffixes.BITS_A_NAME // suffixes.BLOCK_BITS))
+            assert len(filters) == -(-total // most) and all(len(x.bits.value) <= most * 4096 for x in filters)
+            assert (held == 1).all() and sum(x.holds(others).mean() for x in filters) < 0.02
+
+
+def test_slices_of_filters_find_the_same_repeats(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    shared = ["".join(map(chr, rng.integers(97, 123, int(n)))) for n in rng.integers(20, 160, 12)]
+    texts = [" ".join(shared[j] for j in rng.integers(0, 12, 6)) for _ in range(30)]
+    expected, seen = {}, set()
+    for i, text in enumerate(texts):
+        own, gone = [text[k : k + 50] for k in range(len(text) - 49)], np.zeros(len(text), dtype=bool)
+        for k, string in enumerate(own):
+            if string in seen:
+                gone[k : k + 50] = True
+        seen.update(own)
+        expected[i] = (int(gone.sum()), "".join(c for c, g in zip(text, gone, strict=True) if not g).encode())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(suffixes, "BITS_A_NAME", 200)  # several blocks
+    monkeypatch.setattr(suffixes, "SLICE_BLOCKS", 2)
+    assert {r.doc_id: (r.n_removed, bytes(r.kept)) for r in suffixes.without_repeats(docs).collect()} == expected
+
+
+def test_repeats_leave_no_shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = blocks.getAllFiles()
+        names = (found.apply(i).getName() for i in range(found.size()))
+        return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+    docs = spark.createDataFrame([(i, f"{LONG} {i // 2} {LONG[i:]}") for i in range(40)], "doc_id long, text string")
+    before = files()
+    left = suffixes.without_repeats(docs)
+    until = time.time() + 30
+    while len(files() - before) > 1 and time.time() < until:
+        time.sleep(0.2)
+    assert len(files() - before) <= 1 and left.count() == 40  # Spark may still hold the last one
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 91)], "a long, b long")
     assert {(r.node, r.component) for r in connected_components(links).collect()} == {(i, 0) for i in range(1, 41)} | {(91, 90)}
